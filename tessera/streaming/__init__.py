@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference pipeline is batch only: no stream source, watermark, trigger or
+stateful operator exists in it, so no streaming surface is provided here. The
+hourly rollup (``tessera.operators.hourly``) is the nearest thing — a fixed
+one-hour bucket computed in batch; it is written with plain ``groupBy`` +
+``date_trunc`` so the same expression works unchanged inside a
+``readStream`` query with ``withWatermark`` if a stream is ever added.
+"""
