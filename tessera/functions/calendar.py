@@ -14,7 +14,10 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
 
 
 def _c(x) -> Column:
@@ -60,12 +63,12 @@ def from_unixtimestamp(epochs, format: str = "seconds") -> Column:  # noqa: A002
     unit = {"seconds": "SECOND", "milliseconds": "MILLISECOND", "microseconds": "MICROSECOND"}.get(format)
     if unit is None:
         raise ValueError(f"unsupported epoch format {format!r}")
-    return F.timestamp_add(unit, _c(epochs), _EPOCH)
+    return F.timestamp_add(unit, _c(epochs), _epoch())
 
 
 def to_unixtimestamp(ts) -> Column:
     """DAT-08: seconds since the epoch (fractional), reading the naive timestamp as UTC."""
-    return F.timestamp_diff("MICROSECOND", _EPOCH, _c(ts).cast("timestamp_ntz")) / F.lit(1e6)
+    return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts).cast("timestamp_ntz")) / F.lit(1e6)
 
 
 def iso_week_start(d) -> Column:
