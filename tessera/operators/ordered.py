@@ -5,7 +5,8 @@ into one partition. ``previous_in_order`` computes the same previous-row
 value with range partitioning instead: rows are range-partitioned on the
 order key, the lag is taken inside each range, and the first row of each
 range reads the last row of the preceding non-empty range from a per-range
-summary (one row per range, or per range and group).
+summary (one row per range, or per range and group). The range assignment
+is written once to the reliable checkpoint folder so both uses agree.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tessera.session import cut_lineage
+
 
 def previous_in_order(
     df: DataFrame,
@@ -32,7 +35,10 @@ def previous_in_order(
     g = list(group_cols or [])
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = g + list(order_cols)
-    ranged = df.repartitionByRange(n, *keys).withColumn("_rng", F.spark_partition_id())
+    # The range assignment feeds two branches. Range bounds come from sampling
+    # whose seed depends on the RDD, and the branches prune different columns,
+    # so they would not share one exchange: materialize the assignment once.
+    ranged = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_rng", F.spark_partition_id()))
     inner_w = W.partitionBy("_rng", *g).orderBy(*order_cols)
     local = ranged.withColumn(out_col, F.lag(value_col).over(inner_w)).withColumn(
         "_first", F.row_number().over(inner_w) == 1

@@ -24,7 +24,6 @@ from tessera.sources.schemas import (
     STATION_KEEP,
     STATION_RENAME,
     STG_HOURLY,
-    all_string,
 )
 
 # Station id pattern and the numeric text accepted by the lenient cast.
@@ -83,9 +82,13 @@ def to_number(col) -> Column:
 def read_raw_hourly_csv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """SRC-01/02: one header-CSV scan over every file, every column read as text.
 
-    ``source_file`` and ``year`` come from the file path (``…/<year>/<file>.csv``).
+    Columns are named by the header (no type inference, so all text); with
+    ``enforceSchema=false`` every file's header is checked against the first
+    file's, so a file with a different column order fails loudly instead of
+    being read positionally. ``source_file`` and ``year`` come from the path
+    (``…/<year>/<file>.csv``).
     """
-    df = spark.read.option("header", True).schema(all_string(HOURLY_VARIABLES)).csv(paths)
+    df = spark.read.option("header", True).option("enforceSchema", False).option("inferSchema", False).csv(paths)
     path = F.col("_metadata.file_path")
     return df.withColumn("source_file", path).withColumn(
         "year", F.regexp_extract(path, r"/(\d{4})/[^/]+$", 1).try_cast("int"))
