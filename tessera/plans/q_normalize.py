@@ -206,3 +206,27 @@ def q_acs_geo_key(spark, sf_dir):
     return N.normalize_acs(raw, {"B01001_001E": "population_total", "B01002_001E": "median_age"})
 
 
+
+
+def tract_polygons(spark, sf_dir):
+    """Every customer as a tract polygon: a 0.02° square around its bound point with a 0.01° square hole."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    lat = F.lit(39.5) + ((k * 79) % 1100).cast("double") / 100
+    lon = F.lit(-125.5) + k.cast("double") / 730
+
+    def sq(h):
+        pts = [(-h, -h), (h, -h), (h, h), (-h, h), (-h, -h)]
+        return F.array(*[F.struct((lon + dx).alias("x"), (lat + dy).alias("y")) for dx, dy in pts])
+
+    return c.select(
+        F.concat(F.lit("T"), k.cast("string")).alias("GEOID"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("STATEFP"),
+        F.lpad((k % 1000).cast("string"), 3, "0").alias("COUNTYFP"), k.cast("string").alias("TRACTCE"),
+        F.col("c_name").alias("NAME"), (k * 1000).alias("ALAND"), (k % 97).alias("AWATER"),
+        F.array(sq(0.01), F.reverse(sq(0.005))).alias("rings"))
+
+
+@register("norm_tract_polygons")
+def q_tract_polygons(spark, sf_dir):
+    """PRJ-16 + GEO-12..15: equal-area centroid/area and bbox for every tract polygon (checked analytically in tests)."""
+    return present(N.normalize_tracts(tract_polygons(spark, sf_dir)))

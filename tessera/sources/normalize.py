@@ -289,3 +289,27 @@ def require_columns(df: DataFrame, columns: Sequence[str], what: str = "input")
 def any_populated(cols: Sequence[str]) -> Column:
     """FLT-03: true when any of the text columns is non-empty."""
     return F.exists(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in cols]), lambda x: x != F.lit(""))
+
+
+# --------------------------------------------------------------------------- tract polygons
+
+TRACT_REQUIRED = ("GEOID", "STATEFP", "COUNTYFP", "TRACTCE", "NAME", "ALAND", "AWATER", "rings")
+
+
+def normalize_tracts(raw: DataFrame, rings_col: str = "rings", wkb_col: str | None = "geometry_wkb") -> DataFrame:
+    """PRJ-16 + GEO-12..15: identifiers, equal-area centroid and area, geographic bbox, WKB pass-through.
+
+    ``rings`` holds the polygon as ``array<array<struct<x,y>>>`` (exterior first).
+    """
+    from tessera.functions.geometry import with_polygon_metrics
+
+    missing = [c for c in TRACT_REQUIRED if c not in raw.columns and not (c == "rings" and rings_col in raw.columns)]
+    if missing:
+        raise ValueError(f"Missing expected tract columns: {missing}")
+    wkb = F.col(wkb_col) if wkb_col and wkb_col in raw.columns else F.lit(None).cast("binary")
+    return with_polygon_metrics(raw, rings_col, "m").select(
+        F.col("GEOID").alias("tract"), F.col("STATEFP").alias("state_fips"), F.col("COUNTYFP").alias("county_fips"),
+        F.col("TRACTCE").alias("tract_code"), F.col("NAME").alias("name"), F.col("ALAND").alias("aland"),
+        F.col("AWATER").alias("awater"), "m", wkb.alias("geometry_wkb"),
+    ).select("tract", "state_fips", "county_fips", "tract_code", "name", "aland", "awater", "m.centroid_lat",
+             "m.centroid_lon", "m.bbox_minx", "m.bbox_miny", "m.bbox_maxx", "m.bbox_maxy", "m.area_m2", "geometry_wkb")
