@@ -553,3 +553,96 @@ def _(spark, d):
 @q("exp_not_null", "SELECT doc_id, lang, source, n_chars, quality, toxic FROM " + DOCS_LABELS_SQL + " WHERE toxic IS NULL")
 def _(spark, d):
     return X.not_null(_docs_labels(spark, d), "toxic")
+
+
+# --- schema-only checks (no job; the table's schema is the input) -------------------------
+
+def _cols_sql(table: str) -> str:
+    return (f"(SELECT upper(column_name) AS c, CAST(ordinal_position AS INTEGER) AS i, "
+            f"CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+            f"WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'FLOAT' THEN 'float' "
+            f"WHEN 'DATE' THEN 'date' ELSE lower(data_type) END AS t "
+            f"FROM information_schema.columns WHERE table_name = '{table}')")
+
+
+@q("exp_column_values_to_be_of_type",
+   "SELECT 'l_shipdate' AS column_name, t AS column_type, 'timestamp' AS expected_type FROM " + _cols_sql("lineitem")
+   + " WHERE c = 'L_SHIPDATE' AND lower(t) <> 'timestamp'")
+def _(spark, d):
+    return X.column_values_to_be_of_type(_t(spark, d, "lineitem"), "l_shipdate", "timestamp")
+
+
+@q("exp_column_values_to_be_in_type_list",
+   "SELECT 'o_totalprice' AS column_name, t AS column_type FROM " + _cols_sql("orders")
+   + " WHERE c = 'O_TOTALPRICE' AND lower(t) NOT IN ('double', 'float')")
+def _(spark, d):
+    return X.column_values_to_be_in_type_list(_t(spark, d, "orders"), "o_totalprice", ["DOUBLE", "float"])
+
+
+@q("exp_column_to_exist",
+   "SELECT 'L_SHIPMODE' AS column_name, -1 AS matching_column_index, true AS column_index_matches "
+   "WHERE NOT EXISTS (SELECT 1 FROM " + _cols_sql("lineitem") + " WHERE c = 'L_SHIPMODE')")
+def _(spark, d):
+    return X.column_to_exist(_t(spark, d, "lineitem"), "l_shipmode")
+
+
+@q("exp_column_to_exist_at_index",
+   "SELECT 'L_TAX' AS column_name, CAST(i - 1 AS INTEGER) AS matching_column_index, (i = 3) AS column_index_matches FROM "
+   + _cols_sql("lineitem") + " WHERE c = 'L_TAX' AND NOT (i = 3)")
+def _(spark, d):
+    return X.column_to_exist(_t(spark, d, "lineitem"), "l_tax", column_index=3)
+
+
+@q("exp_table_column_count_to_equal",
+   "SELECT n AS number_actual_columns, 6 AS value FROM (SELECT CAST(count(*) AS INTEGER) AS n FROM "
+   + _cols_sql("orders") + ") WHERE n <> 6")
+def _(spark, d):
+    return X.table_column_count_to_equal(_t(spark, d, "orders"), 6)
+
+
+@q("exp_table_column_count_to_be_between",
+   "SELECT n AS number_actual_columns, 2 AS min_value, 10 AS max_value FROM (SELECT CAST(count(*) AS INTEGER) AS n FROM "
+   + _cols_sql("lineitem") + ") WHERE NOT (n >= 2 AND n <= 10)")
+def _(spark, d):
+    return X.table_column_count_to_be_between(_t(spark, d, "lineitem"), 2, 10)
+
+
+@q("exp_table_column_count_to_equal_other_table",
+   "SELECT a.n AS number_columns, b.n AS compare_number_columns FROM (SELECT CAST(count(*) AS INTEGER) AS n FROM "
+   + _cols_sql("supplier") + ") a, (SELECT CAST(count(*) AS INTEGER) AS n FROM " + _cols_sql("customer")
+   + ") b WHERE a.n <> b.n")
+def _(spark, d):
+    return X.table_column_count_to_equal_other_table(_t(spark, d, "supplier"), _t(spark, d, "customer"))
+
+
+_WANT = ["O_ORDERKEY", "O_CUSTKEY", "O_COMMENT"]
+_WANT_SQL = " UNION ALL ".join(f"SELECT '{w}' AS w, {i} AS wi" for i, w in enumerate(_WANT, 1))
+
+
+@q("exp_table_columns_to_contain_set",
+   f"SELECT w AS input_column, CAST(NULL AS VARCHAR) AS relation_column FROM ({_WANT_SQL}) "
+   f"WHERE w NOT IN (SELECT c FROM {_cols_sql('orders')})")
+def _(spark, d):
+    return X.table_columns_to_contain_set(_t(spark, d, "orders"), [w.lower() for w in _WANT])
+
+
+@q("exp_table_columns_to_not_contain_set",
+   f"SELECT w AS input_column, w AS relation_column FROM ({_WANT_SQL}) WHERE w IN (SELECT c FROM {_cols_sql('orders')})")
+def _(spark, d):
+    return X.table_columns_to_not_contain_set(_t(spark, d, "orders"), [w.lower() for w in _WANT])
+
+
+@q("exp_table_columns_to_match_set",
+   f"SELECT c AS relation_column, CAST(NULL AS VARCHAR) AS input_column FROM {_cols_sql('orders')} "
+   f"WHERE c NOT IN (SELECT w FROM ({_WANT_SQL})) UNION ALL "
+   f"SELECT CAST(NULL AS VARCHAR), w FROM ({_WANT_SQL}) WHERE w NOT IN (SELECT c FROM {_cols_sql('orders')})")
+def _(spark, d):
+    return X.table_columns_to_match_set(_t(spark, d, "orders"), [w.lower() for w in _WANT])
+
+
+@q("exp_table_columns_to_match_ordered_list",
+   f"SELECT r.i AS relation_column_idx, r.c AS relation_column, w.wi AS input_column_idx, w.w AS input_column "
+   f"FROM {_cols_sql('orders')} r FULL OUTER JOIN ({_WANT_SQL}) w ON r.c = w.w AND r.i = w.wi "
+   f"WHERE r.c IS NULL OR w.w IS NULL")
+def _(spark, d):
+    return X.table_columns_to_match_ordered_list(_t(spark, d, "orders"), [w.lower() for w in _WANT])
