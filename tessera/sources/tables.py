@@ -128,3 +128,22 @@ def stg_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_tract_bucket(df: DataFrame) -> DataFrame:
     return df.withColumn("tract_bucket", tract_bucket("tract"))
+
+
+# --------------------------------------------------------------------------- generic sources / sinks
+
+
+def preview(spark: SparkSession, path: str, n: int = 10) -> DataFrame:
+    """SRC-10: query a Parquet path directly (a preview; the limit is the feature)."""
+    return spark.sql(f"SELECT * FROM parquet.`{path}` LIMIT {int(n)}")
+
+
+def describe_columns(df: DataFrame) -> DataFrame:
+    """SRC-11: (position, column_name, data_type) of a relation, from its schema (no job)."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
+
+
+def write_table(df: DataFrame, path: str, skip_if_exists: bool = False, fmt: str = "parquet") -> None:
+    """SNK-02/04/05: full rebuild (overwrite), or leave an existing output untouched (``ignore``)."""
+    df.write.mode("ignore" if skip_if_exists else "overwrite").format(fmt).save(path)

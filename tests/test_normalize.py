@@ -162,3 +162,13 @@ def test_state_last_write_wins(spark):
     log = spark.createDataFrame([("lcd", "years", "[2024]", dt.datetime(2025, 1, 1)),
                                  ("lcd", "years", "[2024,2025]", dt.datetime(2025, 6, 1))], N.STATE_SCHEMA)
     assert N.state_latest(log).first()["value"] == "[2024,2025]"
+
+
+def test_sinks_and_preview(spark, tmp_path):
+    from tessera.sources import tables as T
+
+    path = str(tmp_path / "t")
+    T.write_table(spark.range(5), path)
+    T.write_table(spark.range(9), path, skip_if_exists=True)  # existing output left alone
+    assert T.preview(spark, path, 100).count() == 5
+    assert [r.column_name for r in T.describe_columns(spark.read.parquet(path)).collect()] == ["id"]
