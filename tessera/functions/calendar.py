@@ -41,8 +41,16 @@ def date_part(part: str, d) -> Column:
     return F.date_part(F.lit(part), _c(d))
 
 
+# English day and month names (the formatter's default-locale output), in calendar order.
+DAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
+MONTH_NAMES = ("January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+               "November", "December")
+
+
 def day_name(d, short: bool = False) -> Column:
-    return F.date_format(_c(d), "EEE" if short else "EEEE")
+    """Sunday / Sun — an array lookup by day of week (no per-row date formatting)."""
+    names = [n[:3] if short else n for n in DAY_NAMES]
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.dayofweek(_c(d)))
 
 
 def day_of_month(d) -> Column:
@@ -98,7 +106,9 @@ def week_of_year(d) -> Column:
 
 
 def month_name(d, short: bool = False) -> Column:
-    return F.date_format(_c(d), "MMM" if short else "MMMM")
+    """November / Nov — an array lookup by month number."""
+    names = [n[:3] if short else n for n in MONTH_NAMES]
+    return F.element_at(F.array(*[F.lit(n) for n in names]), F.month(_c(d)))
 
 
 def now(tz: str | None = None, at: _dt.datetime | None = None) -> Column:
