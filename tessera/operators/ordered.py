@@ -5,8 +5,9 @@ into one partition. ``previous_in_order`` computes the same previous-row
 value with range partitioning instead: rows are range-partitioned on the
 order key, the lag is taken inside each range, and the first row of each
 range reads the last row of the preceding non-empty range from a per-range
-summary (one row per range, or per range and group). The range assignment
-is written once to the reliable checkpoint folder so both uses agree.
+summary (one row per range, or per range and group). The windowed rows are
+written once to the reliable checkpoint folder so both uses agree on the
+(sampled, hence nondeterministic) range assignment.
 """
 
 from __future__ import annotations
@@ -35,20 +36,18 @@ def previous_in_order(
     g = list(group_cols or [])
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = g + list(order_cols)
-    # The range assignment feeds two branches. Range bounds come from sampling
-    # whose seed depends on the RDD, and the branches prune different columns,
-    # so they would not share one exchange: materialize the assignment once.
-    ranged = cut_lineage(df.repartitionByRange(n, *keys).withColumn("_rng", F.spark_partition_id()))
+    ranged = df.repartitionByRange(n, *keys).withColumn("_rng", F.spark_partition_id())
     inner_w = W.partitionBy("_rng", *g).orderBy(*order_cols)
-    local = ranged.withColumn(out_col, F.lag(value_col).over(inner_w)).withColumn(
-        "_first", F.row_number().over(inner_w) == 1
-    )
-    # last row of every (range, group); the previous range's last row feeds each range's first row
-    ordkey = F.struct(*[F.col(c) for c in order_cols], F.col(value_col).alias("_v"))
-    summary = ranged.groupBy("_rng", *g).agg(F.max(ordkey).alias("_last"))
-    summary = summary.select(
-        "_rng", *g, F.lag(F.col("_last")["_v"]).over(W.partitionBy(*g).orderBy("_rng")).alias("_carry")
-    )
-    joined = local.join(summary, ["_rng", *g], "left")
-    out = joined.withColumn(out_col, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out_col)))
-    return out.drop("_rng", "_first", "_carry")
+    whole = inner_w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    # One window pass: in-range lag, position, and range size (to find each range's last row).
+    # The range id is nondeterministic (sampled bounds), and the rows feed two branches below,
+    # so the windowed rows are materialized once to the reliable checkpoint folder.
+    local = cut_lineage(ranged.select(
+        "*", F.lag(value_col).over(inner_w).alias(out_col), F.row_number().over(inner_w).alias("_pos"),
+        F.count(F.lit(1)).over(whole).alias("_cnt")))
+    # last row of every (range, group) — a filter, no aggregation — and the previous range's last value
+    last = local.where(F.col("_pos") == F.col("_cnt")).select("_rng", *g, F.col(value_col).alias("_last"))
+    carry = last.select("_rng", *g, F.lag("_last").over(W.partitionBy(*g).orderBy("_rng")).alias("_carry"))
+    joined = local.join(carry, ["_rng", *g], "left")
+    out = joined.withColumn(out_col, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out_col)))
+    return out.drop("_rng", "_pos", "_cnt", "_carry")
