@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordered import previous_in_order
+from tessera.operators.ordered import group_quantile, previous_in_order
 
 Expr = "str | Column"
 
@@ -317,17 +317,30 @@ def column_mean_to_be_between(df, column, min_value=None, max_value=None, group_
     return expression_between(df, F.avg(column), min_value, max_value, group_by, row_condition, strictly)
 
 
+def _quantile_between(df, column, quantile, min_value, max_value, group_by, row_condition, strictly):
+    """Exact quantile per group via the distributed rank operator, then the between predicate.
+
+    Output matches ``expression_between``: ``col_1..col_n`` and ``expression``.
+    """
+    g = list(group_by or [])
+    src = _filter(df, row_condition)
+    qd = group_quantile(src, column, quantile, g, out_col="_q")
+    if not g:  # a global aggregate always yields one row, NULL when there are no values
+        qd = src.agg(F.lit(1).alias("_k")).join(qd.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
+    pred = between_predicate(F.col("_q"), min_value, max_value, strictly)
+    out = qd.select(*[F.col(c).alias(f"col_{i}") for i, c in enumerate(g, 1)], pred.alias("expression"))
+    return out.where(F.expr("not(expression = true)"))
+
+
 def column_median_to_be_between(df, column, min_value=None, max_value=None, group_by=None, row_condition=None, strictly=False):
-    """EXP-25: exact interpolated median (``percentile_cont(0.5)``)."""
-    return expression_between(df, F.percentile(F.col(column), F.lit(0.5)), min_value, max_value, group_by,
-                              row_condition, strictly)
+    """EXP-25: exact interpolated median (``percentile_cont(0.5)``), distributed (no group held in one task)."""
+    return _quantile_between(df, column, 0.5, min_value, max_value, group_by, row_condition, strictly)
 
 
 def column_quantile_values_to_be_between(df, column, quantile, min_value=None, max_value=None, group_by=None,
                                          row_condition=None, strictly=False):
-    """EXP-26: exact ``percentile_cont(quantile)``."""
-    return expression_between(df, F.percentile(F.col(column), F.lit(quantile)), min_value, max_value, group_by,
-                              row_condition, strictly)
+    """EXP-26: exact ``percentile_cont(quantile)``, distributed."""
+    return _quantile_between(df, column, quantile, min_value, max_value, group_by, row_condition, strictly)
 
 
 def column_stdev_to_be_between(df, column, min_value=None, max_value=None, group_by=None, row_condition=None, strictly=False):

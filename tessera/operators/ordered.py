@@ -51,3 +51,50 @@ def previous_in_order(
     joined = local.join(carry, ["_rng", *g], "left")
     out = joined.withColumn(out_col, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out_col)))
     return out.drop("_rng", "_pos", "_cnt", "_carry")
+
+
+def group_quantile(
+    df: DataFrame,
+    value_col: str,
+    quantile: float,
+    group_cols: list[str] | None = None,
+    out_col: str = "quantile",
+    num_ranges: int | None = None,
+) -> DataFrame:
+    """Exact ``percentile_cont(quantile)`` of ``value_col`` per group, without holding a group in one task.
+
+    Rows are range-partitioned on (group, value); each range numbers its rows
+    per group; per-group offsets are prefix sums over the (range, group)
+    counts (one row per range and group); the two rows bracketing position
+    ``quantile·(n−1)`` are picked by global rank and linearly interpolated —
+    the same definition as ``percentile_cont`` / Spark's ``percentile``.
+    NULL values are ignored; a group with no values is absent from the output.
+    """
+    if not 0.0 <= quantile <= 1.0:
+        raise ValueError("quantile must be in [0, 1]")
+    g = list(group_cols or [])
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    src = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ranged = src.repartitionByRange(n, *g, "_v").withColumn("_rng", F.spark_partition_id())
+    w = W.partitionBy("_rng", *g).orderBy("_v")
+    # materialized once: the sampled range assignment must agree between the two uses below
+    local = cut_lineage(ranged.select(*g, "_v", "_rng", F.row_number().over(w).alias("_i")))
+    counts = local.groupBy("_rng", *g).agg(F.max("_i").alias("_c"))
+    per_group = W.partitionBy(*g)
+    offsets = counts.select(
+        "_rng", *g,
+        F.coalesce(F.sum("_c").over(per_group.orderBy("_rng").rowsBetween(W.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_off"),
+        F.sum("_c").over(per_group).alias("_n"))
+    pos = F.lit(float(quantile)) * (F.col("_n") - 1).cast("double")
+    offsets = offsets.select("*", F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"),
+                             pos.alias("_pos"))
+    picked = local.join(offsets, ["_rng", *g], "inner").withColumn("_rank", F.col("_off") + F.col("_i") - 1).where(
+        (F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi")))
+    agg = picked.groupBy(*g).agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
+        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
+    return agg.select(*g, val.alias(out_col))
