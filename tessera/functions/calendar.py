@@ -16,8 +16,46 @@ from pyspark.sql import functions as F
 
 
 
+def ntz_lit(x) -> Column:
+    """A ``timestamp_ntz`` literal that does not depend on any time zone.
+
+    Python ``datetime`` literals travel as zone-aware timestamps and would shift
+    with the session zone when cast; the ISO text form casts exactly.
+    """
+    if isinstance(x, Column):
+        return x.cast("timestamp_ntz")
+    if isinstance(x, _dt.datetime):
+        return F.lit(x.isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(x, _dt.date):
+        return F.lit(x.isoformat()).cast("timestamp_ntz")
+    return F.lit(str(x)).cast("timestamp_ntz")
+
+
 def _epoch() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    return ntz_lit("1970-01-01 00:00:00")
+
+
+_SUBDAY_MICROS = {"hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000}
+
+
+def trunc_ntz(part: str, ts) -> Column:
+    """Truncate to ``part`` as a ``timestamp_ntz``, independent of the session time zone.
+
+    (Spark's ``date_trunc`` returns a zone-aware timestamp even for NTZ input,
+    so its buckets would move with the session zone.) Calendar units truncate
+    the date; sub-day units subtract the remainder of microseconds since the
+    epoch — plain integer arithmetic.
+    """
+    p = part.lower()
+    t = _c(ts).cast("timestamp_ntz")
+    if p in ("year", "quarter", "month", "week"):
+        return F.trunc(t.cast("date"), p).cast("timestamp_ntz")
+    if p == "day":
+        return t.cast("date").cast("timestamp_ntz")
+    if p in _SUBDAY_MICROS:
+        us = F.timestamp_diff("MICROSECOND", _epoch(), t)
+        return F.timestamp_add("MICROSECOND", -F.pmod(us, F.lit(_SUBDAY_MICROS[p])), t)
+    raise ValueError(f"unsupported date part {part!r}")
 
 
 def _c(x) -> Column:
@@ -80,7 +118,7 @@ def to_unixtimestamp(ts) -> Column:
 
 
 def iso_week_start(d) -> Column:
-    return F.date_trunc("week", _c(d)).cast("date")
+    return F.trunc(_d(d), "week")
 
 
 def iso_week_end(d) -> Column:
@@ -113,7 +151,7 @@ def month_name(d, short: bool = False) -> Column:
 
 def now(tz: str | None = None, at: _dt.datetime | None = None) -> Column:
     """DAT-16: current (or the given ``at``) naive timestamp in ``tz``."""
-    base = F.lit(at).cast("timestamp_ntz") if at is not None else F.convert_timezone(
+    base = ntz_lit(at) if at is not None else F.convert_timezone(
         F.lit("UTC"), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return base if tz is None else convert_timezone(base, tz, "UTC")
 
@@ -140,11 +178,11 @@ def n_days_away(n: int, d) -> Column:
 
 def n_weeks_ago(n: int, d) -> Column:
     """DAT-19: shift by n weeks, then truncate to the (Monday) week."""
-    return F.date_trunc("week", F.date_sub(_d(d), 7 * n)).cast("date")
+    return F.trunc(F.date_sub(_d(d), 7 * n), "week")
 
 
 def n_weeks_away(n: int, d) -> Column:
-    return F.date_trunc("week", F.date_add(_d(d), 7 * n)).cast("date")
+    return F.trunc(F.date_add(_d(d), 7 * n), "week")
 
 
 def last_week(d) -> Column:
@@ -211,7 +249,7 @@ def datediff_boundaries(start, end, part: str) -> Column:
         days = F.datediff(e.cast("date"), s.cast("date"))
         return (F.signum(days) * F.floor(F.abs(days) / F.lit(7))).cast("bigint")
     if p in ("hour", "minute", "second"):
-        return F.timestamp_diff(p.upper(), F.date_trunc(p, s), F.date_trunc(p, e)).cast("bigint")
+        return F.timestamp_diff(p.upper(), trunc_ntz(p, s), trunc_ntz(p, e)).cast("bigint")
     raise ValueError(f"unsupported date part {part!r}")
 
 
@@ -222,7 +260,7 @@ def periods_since(col, period: str = "day", now_at=None) -> Column:
 
 def round_timestamp(ts) -> Column:
     """DAT-23: nearest day (ties round up)."""
-    return F.date_trunc("day", F.timestamp_add("HOUR", F.lit(12), _c(ts).cast("timestamp_ntz")))
+    return trunc_ntz("day", F.timestamp_add("HOUR", F.lit(12), _c(ts).cast("timestamp_ntz")))
 
 
 def date(year: int, month: int, day: int) -> Column:
@@ -236,7 +274,7 @@ def datetime(year: int, month: int, day: int, hour: int = 0, minute: int = 0, se
 
 
 def date_trunc(part: str, d) -> Column:
-    return F.date_trunc(part, _c(d)).cast("timestamp_ntz")
+    return trunc_ntz(part, d)
 
 
 def last_day(d, part: str = "month") -> Column:

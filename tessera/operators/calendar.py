@@ -36,8 +36,7 @@ def date_spine_between(bounds: DataFrame, start_col: str, end_col: str, datepart
 
 
 def date_spine(spark: SparkSession, datepart: str, start_date, end_date) -> DataFrame:
-    b = spark.range(1).select(F.lit(start_date).cast("timestamp_ntz").alias("_s"),
-                              F.lit(end_date).cast("timestamp_ntz").alias("_e"))
+    b = spark.range(1).select(C.ntz_lit(start_date).alias("_s"), C.ntz_lit(end_date).alias("_e"))
     return date_spine_between(b, "_s", "_e", datepart).select(f"date_{datepart}")
 
 
@@ -51,9 +50,9 @@ def get_base_dates(spark: SparkSession, start_date=None, end_date=None, n_datepa
                    datepart: str = "day", today=None) -> DataFrame:
     """DAT-28: explicit [start, end) or the last ``n_dateparts`` periods up to tomorrow (exclusive)."""
     if start_date is not None and end_date is not None:
-        s, e = F.lit(start_date).cast("timestamp_ntz"), F.lit(end_date).cast("timestamp_ntz")
+        s, e = C.ntz_lit(start_date), C.ntz_lit(end_date)
     elif n_dateparts and datepart:
-        t = C._d(F.lit(today)) if today is not None else C.today()
+        t = C.ntz_lit(today).cast("date") if today is not None else C.today()
         s, e = C.dateadd(datepart, -1 * n_dateparts, t), C.tomorrow(t).cast("timestamp_ntz")
     else:
         raise ValueError("give start_date and end_date, or n_dateparts")

@@ -539,7 +539,9 @@ def table_aggregation_to_equal_other_table(df, expression, compare_df, compare_e
 
 
 def _ts(x) -> Column:
-    return F.lit(x) if isinstance(x, (_dt.datetime, _dt.date)) else _e(x)
+    from tessera.functions.calendar import ntz_lit
+
+    return ntz_lit(x) if isinstance(x, (_dt.datetime, _dt.date)) else _e(x)
 
 
 def _shift(ts: Column, datepart: str, n: int) -> Column:
@@ -555,7 +557,7 @@ def row_values_to_have_recent_data(df, column, datepart, interval, now, row_cond
     ts = F.col(column).cast("timestamp_ntz")
     src = _filter(df.where(ts <= now_c), row_condition)
     m = src.agg(F.max(ts).alias("max_timestamp"))
-    floor = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    floor = _ts(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
     return m.where(F.coalesce(F.col("max_timestamp"), floor) < _shift(now_c, datepart, -int(interval)))
 
 
@@ -655,7 +657,9 @@ def column_values_to_be_within_n_moving_stdevs(df, column, date_column, now, gro
     upper = sigma_threshold_upper if sigma_threshold_upper else sigma_threshold
     lower = sigma_threshold_lower if sigma_threshold_lower else -1 * sigma_threshold
     g = list(group_by or [])
-    metric = df.groupBy(F.date_trunc(period, F.col(date_column)).alias("metric_period"), *g).agg(
+    from tessera.functions.calendar import trunc_ntz
+
+    metric = df.groupBy(trunc_ntz(period, F.col(date_column)).alias("metric_period"), *g).agg(
         F.sum(column).alias("agg_metric_value"))
     w = W.partitionBy(*g).orderBy("metric_period") if g else W.orderBy("metric_period")
     if take_diffs:
@@ -671,7 +675,7 @@ def column_values_to_be_within_n_moving_stdevs(df, column, date_column, now, gro
     calc = calc.withColumn("metric_test_delta", F.col("metric_test_value") - F.col("metric_test_rolling_average"))
     calc = calc.withColumn("metric_test_sigma", F.col("metric_test_delta") / F.nullif(
         F.col("metric_test_rolling_stddev"), F.lit(0.0)))
-    now_p = F.date_trunc(period, _ts(now).cast("timestamp_ntz"))
+    now_p = trunc_ntz(period, _ts(now))
     start = _shift(now_p, period, -int(test_periods))
     sig = F.col("metric_test_sigma")
     return calc.where((F.col("metric_period") >= start) & (F.col("metric_period") < now_p)
@@ -696,7 +700,9 @@ def row_values_to_have_data_for_every_n_datepart(df, date_col, date_part="day",
     if test_end_date is not None:
         bounds = bounds.withColumn("_e", F.lit(test_end_date).cast("date"))
     spine = date_spine_between(bounds, "_s", "_e", date_part, out=f"date_{date_part}")
-    part = F.date_trunc(date_part, d).cast("timestamp_ntz")
+    from tessera.functions.calendar import trunc_ntz
+
+    part = trunc_ntz(date_part, d)
     if interval:
         spine = spine.where(F.pmod(_boundary_diff(F.col("_s"), F.col(f"date_{date_part}"), date_part), F.lit(interval)) == 0)
         shift = -F.pmod(_boundary_diff(F.col("_s"), d, date_part), F.lit(interval))

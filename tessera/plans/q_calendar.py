@@ -189,7 +189,7 @@ def q_calendar_helpers(spark, sf_dir):
     """DAT-01..25, 34 as column functions over every lineitem row (explicit ``now``)."""
     li = read_table(spark, sf_dir, "lineitem")
     s = F.col("l_shipdate")
-    now = F.lit(_NOW).cast("timestamp_ntz")
+    now = C.ntz_lit(_NOW)
     return present(li.select(
         "l_orderkey", "l_linenumber", "l_shipdate",
         C.date_part("quarter", s).cast("int").alias("ship_quarter"),

@@ -70,3 +70,20 @@ def test_fiscal_calendar(spark):
     assert {p for p, _ in counts} == set(range(1, 13))
     assert all(n == (5 if p % 3 == 2 else 4) or (p == 12 and n == 5) for p, n in counts)
     assert fp.agg(F.max("fiscal_quarter_number")).first()[0] == 4
+
+
+def test_truncation_independent_of_session_zone(spark):
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2021-03-14 02:30:00",), ("2021-11-07 01:30:00",)], ["s"]).select(
+            F.col("s").cast("timestamp_ntz").alias("t"))
+        rows = df.select(C.trunc_ntz("hour", "t").alias("h"), C.trunc_ntz("day", "t").alias("d"),
+                         C.trunc_ntz("month", "t").alias("m"), C.round_timestamp("t").alias("r"),
+                         C.to_unixtimestamp("t").alias("u")).collect()
+        assert [r.h for r in rows] == [dt.datetime(2021, 3, 14, 2), dt.datetime(2021, 11, 7, 1)]
+        assert [r.d for r in rows] == [dt.datetime(2021, 3, 14), dt.datetime(2021, 11, 7)]
+        assert [r.m for r in rows] == [dt.datetime(2021, 3, 1), dt.datetime(2021, 11, 1)]
+        assert rows[0].u == 1615689000.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
