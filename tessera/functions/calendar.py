@@ -38,13 +38,26 @@ def _epoch() -> Column:
 _SUBDAY_MICROS = {"hour": 3_600_000_000, "minute": 60_000_000, "second": 1_000_000}
 
 
+def ntz_micros(ts) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a naive timestamp, read as wall-clock fields.
+
+    Zone-free by construction (``timestamp_diff`` on NTZ input goes through the
+    session zone and shifts wall times that do not exist there).
+    """
+    t = _c(ts).cast("timestamp_ntz")
+    days = F.datediff(t.cast("date"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    secs = F.date_part(F.lit("SECOND"), t)  # seconds with fraction
+    return (days * F.lit(86_400_000_000) + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(t).cast("bigint") * F.lit(60_000_000) + (secs * F.lit(1_000_000)).cast("bigint"))
+
+
 def trunc_ntz(part: str, ts) -> Column:
     """Truncate to ``part`` as a ``timestamp_ntz``, independent of the session time zone.
 
     (Spark's ``date_trunc`` returns a zone-aware timestamp even for NTZ input,
     so its buckets would move with the session zone.) Calendar units truncate
-    the date; sub-day units subtract the remainder of microseconds since the
-    epoch — plain integer arithmetic.
+    the date; sub-day units add the hour/minute/second fields back onto the
+    date (interval arithmetic on NTZ is zone-free).
     """
     p = part.lower()
     t = _c(ts).cast("timestamp_ntz")
@@ -53,8 +66,11 @@ def trunc_ntz(part: str, ts) -> Column:
     if p == "day":
         return t.cast("date").cast("timestamp_ntz")
     if p in _SUBDAY_MICROS:
-        us = F.timestamp_diff("MICROSECOND", _epoch(), t)
-        return F.timestamp_add("MICROSECOND", -F.pmod(us, F.lit(_SUBDAY_MICROS[p])), t)
+        day = t.cast("date").cast("timestamp_ntz")
+        h = F.hour(t)
+        m = F.minute(t) if p in ("minute", "second") else F.lit(0)
+        sec = F.second(t) if p == "second" else F.lit(0)
+        return day + F.make_dt_interval(F.lit(0), h, m, sec.cast("decimal(18,6)"))
     raise ValueError(f"unsupported date part {part!r}")
 
 
@@ -114,7 +130,7 @@ def from_unixtimestamp(epochs, format: str = "seconds") -> Column:  # noqa: A002
 
 def to_unixtimestamp(ts) -> Column:
     """DAT-08: seconds since the epoch (fractional), reading the naive timestamp as UTC."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), _c(ts).cast("timestamp_ntz")) / F.lit(1e6)
+    return ntz_micros(ts) / F.lit(1e6)
 
 
 def iso_week_start(d) -> Column:
@@ -249,7 +265,7 @@ def datediff_boundaries(start, end, part: str) -> Column:
         days = F.datediff(e.cast("date"), s.cast("date"))
         return (F.signum(days) * F.floor(F.abs(days) / F.lit(7))).cast("bigint")
     if p in ("hour", "minute", "second"):
-        return F.timestamp_diff(p.upper(), trunc_ntz(p, s), trunc_ntz(p, e)).cast("bigint")
+        return F.floor((ntz_micros(trunc_ntz(p, e)) - ntz_micros(trunc_ntz(p, s))) / F.lit(_SUBDAY_MICROS[p])).cast("bigint")
     raise ValueError(f"unsupported date part {part!r}")
 
 

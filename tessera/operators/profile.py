@@ -30,7 +30,9 @@ def large_gaps(df: DataFrame, ts: str, threshold_seconds: int = 7200, partition_
     """
     base = df.select(*partition_by, F.col(ts).alias("dt"))
     prev = previous_in_order(base, "dt", ["dt"], list(partition_by), "prev_dt")
-    delta = F.timestamp_diff("SECOND", F.col("prev_dt"), F.col("dt"))
+    from tessera.functions.calendar import ntz_micros
+
+    delta = F.floor((ntz_micros("dt") - ntz_micros("prev_dt")) / F.lit(1_000_000)).cast("bigint")
     return prev.select(*partition_by, "dt", "prev_dt", delta.alias("delta_seconds")).where(
         F.col("delta_seconds") > threshold_seconds)
 
