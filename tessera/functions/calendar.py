@@ -307,3 +307,13 @@ def dateadd(part: str, n, d) -> Column:
     if p == "WEEK":
         return F.timestamp_add("DAY", _c(n) * 7, _c(d).cast("timestamp_ntz"))
     return F.timestamp_add(p, _c(n), _c(d).cast("timestamp_ntz"))
+
+
+def type_timestamp() -> str:
+    """FUN-09: the naive timestamp type used for every timestamp in this package."""
+    return "timestamp_ntz"
+
+
+def type_datetime() -> str:
+    """FUN-09: zone-aware instant type (only for conversions at the boundaries)."""
+    return "timestamp"

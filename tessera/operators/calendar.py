@@ -179,3 +179,13 @@ def bounds_of(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.min(F.col(col)).cast("timestamp_ntz").alias("_s"), F.max(F.col(col)).cast("timestamp_ntz").alias("_e"))
 
 
+
+
+def dim_hour(spark: SparkSession, today, n_days: int = 28) -> DataFrame:
+    """DAT-33: the hours of the last ``n_days`` days (24·n rows) up to ``today`` exclusive of tomorrow."""
+    return get_base_dates(spark, n_dateparts=24 * n_days, datepart="hour", today=today)
+
+
+def dim_week(spark: SparkSession, today, n_weeks: int = 52) -> DataFrame:
+    """DAT-33: the ``n_weeks`` week starts before ``today``."""
+    return get_base_dates(spark, n_dateparts=n_weeks, datepart="week", today=today)

@@ -756,3 +756,16 @@ def relationships(df, column, parent: DataFrame, field: str):
     child = df.where(F.col(column).isNotNull()).select(F.col(column).alias("child_value"))
     par = parent.select(F.col(field).alias("child_value"))
     return child.join(par, "child_value", "left_anti")
+
+
+def expression_is_true_for_column(df, column_name, expression, condition=None):
+    """EXP-69 (date-library form): rows meeting ``condition`` where ``column_name <expression>`` is not true.
+
+    ``expression`` is the text following the column, e.g. ``"= 3"`` or ``"is not null"``.
+    """
+    return expression_is_true(df, f"{column_name} {expression}", None, condition)
+
+
+def seeded_rand(seed: int = 42) -> Column:
+    """FUN-02: reproducible uniform [0, 1) values (use instead of an unseeded ``rand()`` in tests)."""
+    return F.rand(seed)

@@ -87,3 +87,10 @@ def test_truncation_independent_of_session_zone(spark):
         assert rows[0].u == 1615689000.0
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
+
+
+def test_hour_and_week_dims(spark):
+    h = K.dim_hour(spark, dt.date(2021, 1, 10), n_days=2).collect()
+    assert len(h) >= 48 and h[-1][0] == dt.datetime(2021, 1, 10, 23)
+    w = K.dim_week(spark, dt.date(2021, 1, 10), n_weeks=3).collect()
+    assert len(w) == 3 and w[0][0] == dt.datetime(2020, 12, 20)  # n week starts; the end is exclusive
