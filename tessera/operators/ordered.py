@@ -98,3 +98,16 @@ def group_quantile(
     val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
     return agg.select(*g, val.alias(out_col))
+
+
+def running_total(df: DataFrame, value_col: str, partition_cols: list[str], order_col: str, descending: bool = False,
+                  out_col: str = "running_total") -> DataFrame:
+    """WIN-14: running sum per partition with SQL's default frame (RANGE … CURRENT ROW, so ties share a total).
+
+    Requires partition columns: a running total over a whole table would need one ordered stream.
+    """
+    if not partition_cols:
+        raise ValueError("running_total needs partition columns")
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    w = W.partitionBy(*partition_cols).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
+    return df.withColumn(out_col, F.sum(value_col).over(w))

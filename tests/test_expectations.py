@@ -176,3 +176,16 @@ def test_group_quantile_matches_percentile(spark):
         assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
     tot = group_quantile(df, "v", 0.5, None, num_ranges=4).first()[0]
     assert abs(tot - df.agg(F.percentile("v", F.lit(0.5))).first()[0]) < 1e-9
+
+
+def test_running_total_ties_share(spark):
+    from tessera.operators.ordered import running_total
+
+    df = spark.createDataFrame([(1, "2020-10-21", 1.0), (1, "2020-10-22", 2.0), (1, "2020-10-22", 3.0), (2, "2020-10-21", 5.0)],
+                               "idx int, date_col string, v double")
+    inc = {(r.idx, r.date_col, r.v): r.running_total for r in running_total(df, "v", ["idx"], "date_col").collect()}
+    assert inc[(1, "2020-10-21", 1.0)] == 1.0 and inc[(1, "2020-10-22", 2.0)] == 6.0 and inc[(1, "2020-10-22", 3.0)] == 6.0
+    dec = {(r.idx, r.date_col, r.v): r.running_total for r in running_total(df, "v", ["idx"], "date_col", True).collect()}
+    assert dec[(1, "2020-10-21", 1.0)] == 6.0 and dec[(2, "2020-10-21", 5.0)] == 5.0
+    assert n(X.column_values_to_be_increasing(running_total(df, "v", ["idx"], "date_col"), "running_total",
+                                              sort_column="date_col", strictly=False, group_by=["idx"])) == 0
