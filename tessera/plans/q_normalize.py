@@ -228,5 +228,64 @@ def tract_polygons(spark, sf_dir):
 
 @register("norm_tract_polygons")
 def q_tract_polygons(spark, sf_dir):
-    """PRJ-16 + GEO-12..15: equal-area centroid/area and bbox for every tract polygon (checked analytically in tests)."""
-    return present(N.normalize_tracts(tract_polygons(spark, sf_dir)))
+    """PRJ-16 + GEO-12..15: equal-area centroid/area and bbox for every tract polygon.
+
+    The area is compared at mm² precision: shoelace terms on ~1e6 m projected
+    coordinates cancel to ~1e-12 relative, so the sixth decimal of m² depends
+    on summation order in any engine. Also checked analytically in tests.
+    """
+    out = present(N.normalize_tracts(tract_polygons(spark, sf_dir)))
+    return out.withColumn("area_m2", F.round("area_m2", 3))
+
+
+def _polygon_sql() -> str:
+    """The tract-polygon metrics restated in DuckDB SQL: vertices unnested, projected, shoelace per ring."""
+    import math
+
+    from tessera.functions.geometry import CONUS_ALBERS as A
+
+    n, c, rho0, qp = A.consts
+    e2, e = A.e2, A.e
+    e4, e6 = e2 * e2, e2 * e2 * e2
+    c2, c4, c6 = e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040, 23 * e4 / 360 + 251 * e6 / 3780, 761 * e6 / 45360
+    q = (f"((1 - {e2!r}) * (sin(radians(lat)) / (1 - {e2!r} * sin(radians(lat)) * sin(radians(lat))) "
+         f"- (1 / (2 * {e!r})) * ln((1 - {e!r} * sin(radians(lat))) / (1 + {e!r} * sin(radians(lat))))))")
+    rho = f"({A.a!r} * sqrt({c!r} - {n!r} * {q}) / {n!r})"
+    theta = f"({n!r} * (radians(lon) - {math.radians(A.lon0)!r}))"
+    sq = lambda h, ring, rev: [(ring, i, dx, dy) for i, (dx, dy) in enumerate(
+        list(reversed([(-h, -h), (h, -h), (h, h), (-h, h), (-h, -h)])) if rev else [(-h, -h), (h, -h), (h, h), (-h, h), (-h, -h)])]
+    verts = sq(0.01, 0, False) + sq(0.005, 1, True)
+    vsql = " UNION ALL ".join(f"SELECT {r} AS ring, {i} AS idx, CAST({dx!r} AS DOUBLE) AS dx, CAST({dy!r} AS DOUBLE) AS dy"
+                              for r, i, dx, dy in verts)
+    return f"""
+WITH verts AS ({vsql}),
+t AS (SELECT c_custkey AS k, 'T' || CAST(c_custkey AS VARCHAR) AS tract, lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state_fips,
+             lpad(CAST(c_custkey % 1000 AS VARCHAR), 3, '0') AS county_fips, CAST(c_custkey AS VARCHAR) AS tract_code,
+             c_name AS name, c_custkey * 1000 AS aland, c_custkey % 97 AS awater,
+             39.5 + CAST((c_custkey * 79) % 1100 AS DOUBLE) / 100 AS clat, -125.5 + CAST(c_custkey AS DOUBLE) / 730 AS clon
+      FROM customer),
+p AS (SELECT t.*, v.ring, v.idx, clon + v.dx AS lon, clat + v.dy AS lat FROM t, verts v),
+xy AS (SELECT *, {rho} * sin({theta}) AS x, {rho0!r} - {rho} * cos({theta}) AS y FROM p),
+o AS (SELECT k, x AS ox, y AS oy FROM xy WHERE ring = 0 AND idx = 0),
+rel AS (SELECT xy.k, ring, idx, x - ox AS rx, y - oy AS ry FROM xy JOIN o USING (k)),
+nxt AS (SELECT *, lead(rx) OVER (PARTITION BY k, ring ORDER BY idx) AS nx, lead(ry) OVER (PARTITION BY k, ring ORDER BY idx) AS ny FROM rel),
+terms AS (SELECT k, ring, rx * ny - nx * ry AS cr, rx + nx AS sx, ry + ny AS sy FROM nxt WHERE nx IS NOT NULL),
+rings AS (SELECT k, ring, sum(cr / 2) AS a, sum(sx * cr / 6) AS mx, sum(sy * cr / 6) AS my FROM terms GROUP BY k, ring),
+tot AS (SELECT k, sum(CASE WHEN ring = 0 THEN 1.0 ELSE -1.0 END * abs(a)) AS a,
+               sum(CASE WHEN ring = 0 THEN 1.0 ELSE -1.0 END * sign(a) * mx) AS mx,
+               sum(CASE WHEN ring = 0 THEN 1.0 ELSE -1.0 END * sign(a) * my) AS my FROM rings GROUP BY k),
+cen AS (SELECT tot.k, tot.a, tot.mx / tot.a + o.ox AS cx, tot.my / tot.a + o.oy AS cy FROM tot JOIN o USING (k)),
+inv AS (SELECT k, a, sqrt(cx * cx + ({rho0!r} - cy) * ({rho0!r} - cy)) AS rho, atan2(cx, {rho0!r} - cy) AS theta FROM cen),
+beta AS (SELECT k, a, theta, asin(least(1.0, greatest(-1.0, (({c!r} - rho * rho * {n * n!r} / {A.a * A.a!r}) / {n!r}) / {qp!r}))) AS b FROM inv),
+bb AS (SELECT k, min(lon) AS minx, min(lat) AS miny, max(lon) AS maxx, max(lat) AS maxy FROM p GROUP BY k)
+SELECT t.tract, t.state_fips, t.county_fips, t.tract_code, t.name, t.aland, t.awater,
+  round(degrees(b + {c2!r} * sin(2 * b) + {c4!r} * sin(4 * b) + {c6!r} * sin(6 * b)), 6) AS centroid_lat,
+  round(degrees(theta / {n!r}) + {A.lon0!r}, 6) AS centroid_lon,
+  round(bb.minx, 6) AS bbox_minx, round(bb.miny, 6) AS bbox_miny, round(bb.maxx, 6) AS bbox_maxx, round(bb.maxy, 6) AS bbox_maxy,
+  round(beta.a, 3) AS area_m2, CAST(NULL AS BLOB) AS geometry_wkb
+FROM t JOIN beta USING (k) JOIN bb USING (k)"""
+
+
+from tessera.plans.catalog import REGISTRY as _REG  # noqa: E402
+
+_REG["norm_tract_polygons"] = (_REG["norm_tract_polygons"][0], _polygon_sql())
