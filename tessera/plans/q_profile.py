@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import expectations as X
 from tessera.operators import profile as PR
 from tessera.operators.suite import Check, run_suite
-from tessera.plans import pipeline as P
+from tessera.plans import dag as P
 from tessera.plans.catalog import register
 from tessera.plans.present import present
 from tessera.plans.q_normalize import RAW_SQL, raw_hourly_records
