@@ -120,7 +120,60 @@ def q_row_counts(spark, sf_dir):
     return PR.row_counts({t: read_table(spark, sf_dir, t) for t in TABLES})
 
 
-@register("model_suite")
+def _suite_sql() -> str:
+    from tessera.plans import oracle as O
+
+    def status(n_expr: str, severity: str = "error") -> str:
+        if severity == "warn":
+            return f"CASE WHEN {n_expr} <> 0 THEN 'warn' ELSE 'pass' END"
+        return f"CASE WHEN {n_expr} <> 0 THEN 'error' ELSE 'pass' END"
+
+    dist = "(SELECT * FROM geom WHERE distance_m <= 50000)"
+    checks = [
+        ("not_null(station)", "stg_hourly", "SELECT count(*) FROM stg_hourly WHERE station IS NULL", "error"),
+        ("relationships(station→dim_station)", "stg_hourly",
+         "SELECT count(*) FROM stg_hourly WHERE station IS NOT NULL AND station NOT IN (SELECT station FROM dim_station)", "warn"),
+        ("unique(station)", "dim_station",
+         "SELECT count(*) FROM (SELECT station FROM dim_station WHERE station IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "error"),
+        ("not_null(latitude)", "dim_station", "SELECT count(*) FROM dim_station WHERE latitude IS NULL", "error"),
+        ("unique(tract)", "dim_tract",
+         "SELECT count(*) FROM (SELECT tract FROM dim_tract WHERE tract IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "error"),
+        ("not_null(tract_bucket)", "dim_tract", "SELECT count(*) FROM dim_tract WHERE tract_bucket IS NULL", "error"),
+        ("between(tract_bucket,0,15)", "dim_tract",
+         "SELECT count(*) FROM dim_tract WHERE NOT (tract_bucket >= 0 AND tract_bucket <= 15)", "error"),
+        ("not_null(floored_timestamp)", "int_hourly", "SELECT count(*) FROM int_hourly WHERE floored_timestamp IS NULL", "error"),
+        ("unique(station||season)", "prevailing_wind",
+         "SELECT count(*) FROM (SELECT station || '-' || season FROM prevailing GROUP BY 1 HAVING count(*) > 1)", "error"),
+        ("accepted_values(season)", "prevailing_wind",
+         "SELECT count(*) FROM prevailing WHERE season IS NOT NULL AND season NOT IN ('DJF', 'MAM', 'JJA', 'SON')", "error"),
+        ("between(direction,0,360)", "prevailing_wind",
+         "SELECT count(*) FROM prevailing WHERE NOT (prevailing_wind_direction_deg >= 0 AND prevailing_wind_direction_deg <= 360)",
+         "error"),
+        ("between(distance_m,0,)", "rel_tract_station_distance", f"SELECT count(*) FROM {dist} WHERE NOT (distance_m >= 0)",
+         "error"),
+        ("between(bearing_deg,0,360)", "rel_tract_station_distance",
+         f"SELECT count(*) FROM {dist} WHERE NOT (bearing_deg >= 0 AND bearing_deg <= 360)", "error"),
+        ("compound_unique(station,tract)", "rel_tract_station_distance",
+         f"SELECT count(*) FROM (SELECT station, tract FROM {dist} GROUP BY 1, 2 HAVING count(*) > 1)", "error"),
+        ("compound_unique(station,tract,season)", "rel_station_weights",
+         "SELECT count(*) FROM (SELECT station, tract, season FROM weights GROUP BY 1, 2, 3 HAVING count(*) > 1)", "error"),
+        *[(f"between({c},0,1)", "rel_station_weights", f"SELECT count(*) FROM weights WHERE NOT ({c} >= 0 AND {c} <= 1)", "error")
+          for c in ("wind_alignment", "elevation_penalty", "distance_factor", "raw_weight", "final_weight")],
+        ("not_null(stations_used)", "rel_station_weights", "SELECT count(*) FROM weights WHERE stations_used IS NULL", "error"),
+        ("relationships(tract→dim_tract)", "fact_tract_hourly",
+         "SELECT count(*) FROM fact WHERE tract IS NOT NULL AND tract NOT IN (SELECT tract FROM dim_tract)", "error"),
+        ("between(weighted_wind_direction,0,360)", "fact_tract_hourly",
+         "SELECT count(*) FROM fact WHERE NOT (weighted_wind_direction >= 0 AND weighted_wind_direction <= 360)", "error"),
+        ("compound_unique(tract,floored_timestamp)", "fact_tract_hourly",
+         "SELECT count(*) FROM (SELECT tract, floored_timestamp FROM fact GROUP BY 1, 2 HAVING count(*) > 1)", "error"),
+    ]
+    body = " UNION ALL ".join(
+        f"SELECT '{name}' AS \"check\", '{model}' AS model, n AS failures, {status('n', sev)} AS status "
+        f"FROM (SELECT ({sql}) AS n)" for name, model, sql, sev in checks)
+    return O.with_(O.FACT, body)
+
+
+@register("model_suite", _suite_sql())
 def q_model_suite(spark, sf_dir):
     """EXP-67/68: the checks declared on the pipeline's models, as one report.
 
