@@ -19,7 +19,7 @@ _FIELDS = ["HourlyDryBulbTemperature", "HourlyWetBulbTemperature", "HourlyDewPoi
            "HourlyStationPressure", "HourlyAltimeterSetting"]
 
 _DAILY_SQL = ("daily AS (SELECT CAST(TRY_CAST(DATE AS TIMESTAMP) AS DATE) AS date, "
-              "count_if(coalesce(HourlyWindSpeed, '') <> '') AS daily_rows_with_values FROM raw GROUP BY 1)")
+              "CAST(count_if(coalesce(HourlyWindSpeed, '') <> '') AS BIGINT) AS daily_rows_with_values FROM raw GROUP BY 1)")
 
 
 @register("prof_daily_populated", "WITH " + RAW_SQL + ", " + _DAILY_SQL + " SELECT * FROM daily")
@@ -56,8 +56,8 @@ def q_gaps(spark, sf_dir):
 @register(
     "prof_quality_summary",
     "WITH " + RAW_SQL + ", " + _DAILY_SQL + ", " + _DUPES_SQL + ", " + _GAPS_SQL
-    + " SELECT (SELECT count_if(daily_rows_with_values = 0) FROM daily) AS days_with_zero_daily_rows, "
-      "(SELECT count_if(daily_rows_with_values > 1) FROM daily) AS days_with_multiple_daily_rows, "
+    + " SELECT (SELECT CAST(count_if(daily_rows_with_values = 0) AS BIGINT) FROM daily) AS days_with_zero_daily_rows, "
+      "(SELECT CAST(count_if(daily_rows_with_values > 1) AS BIGINT) FROM daily) AS days_with_multiple_daily_rows, "
       "(SELECT count(*) FROM dupes) AS duplicate_timestamps, "
       "(SELECT count(*) FROM gaps WHERE delta_seconds > 604800) AS large_gaps",
 )
@@ -74,7 +74,8 @@ def q_quality_summary(spark, sf_dir):
     "prof_column_population",
     "WITH " + RAW_SQL + " SELECT field, non_empty, empty, round(CAST(non_empty AS DOUBLE) / CAST(non_empty + empty AS DOUBLE) * 100, 6) "
     "AS pct_populated FROM (" + " UNION ALL ".join(
-        f"SELECT '{f}' AS field, count_if({f} <> '') AS non_empty, count_if({f} = '') AS empty FROM raw" for f in _FIELDS) + ")",
+        f"SELECT '{f}' AS field, CAST(count_if({f} <> '') AS BIGINT) AS non_empty, CAST(count_if({f} = '') AS BIGINT) AS empty "
+        f"FROM raw" for f in _FIELDS) + ")",
 )
 def q_population(spark, sf_dir):
     """AGG-18: per-column population profile."""
