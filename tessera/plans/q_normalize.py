@@ -226,18 +226,6 @@ def tract_polygons(spark, sf_dir):
         F.array(sq(0.01), F.reverse(sq(0.005))).alias("rings"))
 
 
-@register("norm_tract_polygons")
-def q_tract_polygons(spark, sf_dir):
-    """PRJ-16 + GEO-12..15: equal-area centroid/area and bbox for every tract polygon.
-
-    The area is compared at mm² precision: shoelace terms on ~1e6 m projected
-    coordinates cancel to ~1e-12 relative, so the sixth decimal of m² depends
-    on summation order in any engine. Also checked analytically in tests.
-    """
-    out = present(N.normalize_tracts(tract_polygons(spark, sf_dir)))
-    return out.withColumn("area_m2", F.round("area_m2", 3))
-
-
 def _polygon_sql() -> str:
     """The tract-polygon metrics restated in DuckDB SQL: vertices unnested, projected, shoelace per ring."""
     import math
@@ -286,6 +274,13 @@ SELECT t.tract, t.state_fips, t.county_fips, t.tract_code, t.name, t.aland, t.aw
 FROM t JOIN beta USING (k) JOIN bb USING (k)"""
 
 
-from tessera.plans.catalog import REGISTRY as _REG  # noqa: E402
+@register("norm_tract_polygons", _polygon_sql())
+def q_tract_polygons(spark, sf_dir):
+    """PRJ-16 + GEO-12..15: equal-area centroid/area and bbox for every tract polygon.
 
-_REG["norm_tract_polygons"] = (_REG["norm_tract_polygons"][0], _polygon_sql())
+    The area is compared at mm² precision: shoelace terms on ~1e6 m projected
+    coordinates cancel to ~1e-12 relative, so the sixth decimal of m² depends
+    on summation order in any engine. Also checked analytically in tests.
+    """
+    out = present(N.normalize_tracts(tract_polygons(spark, sf_dir)))
+    return out.withColumn("area_m2", F.round("area_m2", 3))
