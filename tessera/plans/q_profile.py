@@ -121,106 +121,156 @@ def q_row_counts(spark, sf_dir):
     return PR.row_counts({t: read_table(spark, sf_dir, t) for t in TABLES})
 
 
+# The checks declared on the pipeline's models, as data: (kind, model, column(s), extra).
+_MODEL_CHECKS = [
+    ("not_null", "stg_hourly", "station", None), ("relationships", "stg_hourly", "station", ("stg_station", "station")),
+    ("not_null", "stg_hourly", "timestamp", None),
+    ("not_null", "stg_station", "station", None), ("unique", "stg_station", "station", None),
+    ("not_null", "stg_tracts", "tract", None), ("unique", "stg_tracts", "tract", None),
+    ("relationships", "stg_acs", "tract", ("stg_tracts", "tract")),
+    ("not_null", "stg_tract_elevation", "tract", None), ("unique", "stg_tract_elevation", "tract", None),
+    ("relationships", "stg_tract_elevation", "tract", ("stg_tracts", "tract")),
+    ("not_null", "stg_station_elevation", "station", None), ("unique", "stg_station_elevation", "station", None),
+    ("not_null", "dim_station", "station", None), ("unique", "dim_station", "station", None),
+    ("relationships", "dim_station", "station", ("stg_station", "station")),
+    ("relationships", "dim_station", "station", ("stg_station_elevation", "station")),
+    *[("not_null", "dim_station", c, None) for c in ("latitude", "longitude", "elevation_m")],
+    ("not_null", "dim_tract", "tract", None), ("unique", "dim_tract", "tract", None),
+    ("relationships", "dim_tract", "tract", ("stg_tracts", "tract")), ("relationships", "dim_tract", "tract", ("stg_acs", "tract")),
+    ("relationships", "dim_tract", "tract", ("stg_tract_elevation", "tract")),
+    *[("not_null", "dim_tract", c, None) for c in ("tract_bucket", "elevation_m", "centroid_lat", "centroid_lon", "bbox_minx",
+                                                   "bbox_miny", "bbox_maxx", "bbox_maxy")],
+    ("between", "dim_tract", "tract_bucket", (0, 15)),
+    ("not_null", "int_hourly", "station", None), ("relationships", "int_hourly", "station", ("stg_station", "station")),
+    ("not_null", "int_hourly", "floored_timestamp", None),
+    ("not_null", "prevailing_wind", "station", None),
+    ("relationships", "prevailing_wind", "station", ("stg_station", "station")),
+    ("not_null", "prevailing_wind", "season", None),
+    ("accepted_values", "prevailing_wind", "season", ("DJF", "MAM", "JJA", "SON")),
+    ("between", "prevailing_wind", "prevailing_wind_direction_deg", (0, 360)),
+    ("unique", "prevailing_wind", ("station", "season"), None),
+    *[("not_null", "rel_tract_station_distance", c, None) for c in ("station", "tract", "distance_m", "bearing_deg",
+                                                                     "elevation_diff_m")],
+    ("relationships", "rel_tract_station_distance", "station", ("dim_station", "station")),
+    ("relationships", "rel_tract_station_distance", "tract", ("dim_tract", "tract")),
+    ("between", "rel_tract_station_distance", "distance_m", (0, None)),
+    ("between", "rel_tract_station_distance", "bearing_deg", (0, 360)),
+    ("unique", "rel_tract_station_distance", ("station", "tract"), None),
+    *[("not_null", "rel_station_weights", c, None) for c in ("station", "tract", "season", "wind_alignment",
+                                                              "elevation_penalty", "distance_factor", "raw_weight",
+                                                              "final_weight", "stations_used")],
+    ("relationships", "rel_station_weights", "station", ("dim_station", "station")),
+    ("relationships", "rel_station_weights", "tract", ("dim_tract", "tract")),
+    ("accepted_values", "rel_station_weights", "season", ("DJF", "MAM", "JJA", "SON")),
+    *[("between", "rel_station_weights", c, (0, 1)) for c in ("wind_alignment", "elevation_penalty", "distance_factor",
+                                                               "raw_weight", "final_weight")],
+    ("unique", "rel_station_weights", ("station", "tract", "season"), None),
+    ("not_null", "fact_tract_hourly", "tract", None), ("relationships", "fact_tract_hourly", "tract", ("dim_tract", "tract")),
+    ("not_null", "fact_tract_hourly", "floored_timestamp", None), ("not_null", "fact_tract_hourly", "stations_used", None),
+    ("between", "fact_tract_hourly", "weighted_wind_direction", (0, 360)),
+    ("unique", "fact_tract_hourly", ("tract", "floored_timestamp"), None),
+]
+
+_WARN_ONLY = {("relationships", "stg_hourly"), ("relationships", "int_hourly"), ("relationships", "prevailing_wind")}
+
+
+def _check_name(kind, col, extra) -> str:
+    cols = ",".join(col) if isinstance(col, tuple) else col
+    if kind == "relationships":
+        return f"relationships({cols}→{extra[0]})"
+    if kind == "between":
+        lo, hi = extra
+        return f"between({cols},{lo},{'' if hi is None else hi})"
+    return f"{kind}({cols})"
+
+
+def _severity(kind, model) -> str:
+    # observations may name stations without metadata (the bindings leave some users without a supplier)
+    return "warn" if (kind, model) in _WARN_ONLY else "error"
+
+
+_SQL_MODELS = {"stg_hourly": "stg_hourly", "stg_station": "stg_station", "stg_tracts": "stg_tracts", "stg_acs": "stg_acs",
+               "stg_tract_elevation": "stg_tract_elevation", "stg_station_elevation": "stg_station_elevation",
+               "dim_station": "dim_station", "dim_tract": "dim_tract", "int_hourly": "int_hourly",
+               "prevailing_wind": "prevailing", "rel_tract_station_distance": "(SELECT * FROM geom WHERE distance_m <= 50000)",
+               "rel_station_weights": "weights", "fact_tract_hourly": "fact"}
+
+
+def _count_sql(kind, model, col, extra) -> str:
+    m = _SQL_MODELS[model]
+    if kind == "not_null":
+        return f"SELECT count(*) FROM {m} WHERE {col} IS NULL"
+    if kind == "unique":
+        cols = ", ".join(col) if isinstance(col, tuple) else col
+        key = " || '-' || ".join(f"CAST({c} AS VARCHAR)" for c in (col if isinstance(col, tuple) else (col,)))
+        return f"SELECT count(*) FROM (SELECT {key} AS u FROM {m} WHERE {key} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)" \
+            if isinstance(col, tuple) else \
+            f"SELECT count(*) FROM (SELECT {cols} FROM {m} WHERE {cols} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    if kind == "relationships":
+        parent, field = extra
+        return (f"SELECT count(*) FROM {m} WHERE {col} IS NOT NULL AND {col} NOT IN "
+                f"(SELECT {field} FROM {_SQL_MODELS[parent]} WHERE {field} IS NOT NULL)")
+    if kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in extra)
+        return f"SELECT count(*) FROM {m} WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})"
+    if kind == "between":
+        lo, hi = extra
+        cond = " AND ".join([f"{col} >= {lo}"] + ([f"{col} <= {hi}"] if hi is not None else []))
+        return f"SELECT count(*) FROM {m} WHERE NOT ({cond})"
+    raise ValueError(kind)
+
+
 def _suite_sql() -> str:
     from tessera.plans import oracle as O
 
-    def status(n_expr: str, severity: str = "error") -> str:
-        if severity == "warn":
-            return f"CASE WHEN {n_expr} <> 0 THEN 'warn' ELSE 'pass' END"
-        return f"CASE WHEN {n_expr} <> 0 THEN 'error' ELSE 'pass' END"
-
-    dist = "(SELECT * FROM geom WHERE distance_m <= 50000)"
-    checks = [
-        ("not_null(station)", "stg_hourly", "SELECT count(*) FROM stg_hourly WHERE station IS NULL", "error"),
-        ("relationships(station→dim_station)", "stg_hourly",
-         "SELECT count(*) FROM stg_hourly WHERE station IS NOT NULL AND station NOT IN (SELECT station FROM dim_station)", "warn"),
-        ("unique(station)", "dim_station",
-         "SELECT count(*) FROM (SELECT station FROM dim_station WHERE station IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "error"),
-        ("not_null(latitude)", "dim_station", "SELECT count(*) FROM dim_station WHERE latitude IS NULL", "error"),
-        ("unique(tract)", "dim_tract",
-         "SELECT count(*) FROM (SELECT tract FROM dim_tract WHERE tract IS NOT NULL GROUP BY 1 HAVING count(*) > 1)", "error"),
-        ("not_null(tract_bucket)", "dim_tract", "SELECT count(*) FROM dim_tract WHERE tract_bucket IS NULL", "error"),
-        ("between(tract_bucket,0,15)", "dim_tract",
-         "SELECT count(*) FROM dim_tract WHERE NOT (tract_bucket >= 0 AND tract_bucket <= 15)", "error"),
-        ("not_null(floored_timestamp)", "int_hourly", "SELECT count(*) FROM int_hourly WHERE floored_timestamp IS NULL", "error"),
-        ("unique(station||season)", "prevailing_wind",
-         "SELECT count(*) FROM (SELECT station || '-' || season FROM prevailing GROUP BY 1 HAVING count(*) > 1)", "error"),
-        ("accepted_values(season)", "prevailing_wind",
-         "SELECT count(*) FROM prevailing WHERE season IS NOT NULL AND season NOT IN ('DJF', 'MAM', 'JJA', 'SON')", "error"),
-        ("between(direction,0,360)", "prevailing_wind",
-         "SELECT count(*) FROM prevailing WHERE NOT (prevailing_wind_direction_deg >= 0 AND prevailing_wind_direction_deg <= 360)",
-         "error"),
-        ("between(distance_m,0,)", "rel_tract_station_distance", f"SELECT count(*) FROM {dist} WHERE NOT (distance_m >= 0)",
-         "error"),
-        ("between(bearing_deg,0,360)", "rel_tract_station_distance",
-         f"SELECT count(*) FROM {dist} WHERE NOT (bearing_deg >= 0 AND bearing_deg <= 360)", "error"),
-        ("compound_unique(station,tract)", "rel_tract_station_distance",
-         f"SELECT count(*) FROM (SELECT station, tract FROM {dist} GROUP BY 1, 2 HAVING count(*) > 1)", "error"),
-        ("compound_unique(station,tract,season)", "rel_station_weights",
-         "SELECT count(*) FROM (SELECT station, tract, season FROM weights GROUP BY 1, 2, 3 HAVING count(*) > 1)", "error"),
-        *[(f"between({c},0,1)", "rel_station_weights", f"SELECT count(*) FROM weights WHERE NOT ({c} >= 0 AND {c} <= 1)", "error")
-          for c in ("wind_alignment", "elevation_penalty", "distance_factor", "raw_weight", "final_weight")],
-        ("not_null(stations_used)", "rel_station_weights", "SELECT count(*) FROM weights WHERE stations_used IS NULL", "error"),
-        ("relationships(tract→dim_tract)", "fact_tract_hourly",
-         "SELECT count(*) FROM fact WHERE tract IS NOT NULL AND tract NOT IN (SELECT tract FROM dim_tract)", "error"),
-        ("between(weighted_wind_direction,0,360)", "fact_tract_hourly",
-         "SELECT count(*) FROM fact WHERE NOT (weighted_wind_direction >= 0 AND weighted_wind_direction <= 360)", "error"),
-        ("compound_unique(tract,floored_timestamp)", "fact_tract_hourly",
-         "SELECT count(*) FROM (SELECT tract, floored_timestamp FROM fact GROUP BY 1, 2 HAVING count(*) > 1)", "error"),
-    ]
-    body = " UNION ALL ".join(
-        f"SELECT '{name}' AS \"check\", '{model}' AS model, n AS failures, {status('n', sev)} AS status "
-        f"FROM (SELECT ({sql}) AS n)" for name, model, sql, sev in checks)
-    return O.with_(O.FACT, body)
+    parts = []
+    for kind, model, col, extra in _MODEL_CHECKS:
+        sev = _severity(kind, model)
+        st = f"CASE WHEN n <> 0 THEN '{'warn' if sev == 'warn' else 'error'}' ELSE 'pass' END"
+        parts.append(f"SELECT '{_check_name(kind, col, extra)}' AS \"check\", '{model}' AS model, n AS failures, {st} AS status "
+                     f"FROM (SELECT ({_count_sql(kind, model, col, extra)}) AS n)")
+    return O.with_(O.FACT, " UNION ALL ".join(parts))
 
 
 @register("model_suite", _suite_sql())
 def q_model_suite(spark, sf_dir):
-    """EXP-67/68: the checks declared on the pipeline's models, as one report.
+    """EXP-67/68: every check declared on the pipeline's models, as one report.
 
-    The heavy models are materialized once (reliable checkpoint) so each check
-    reads them instead of recomputing the pipeline.
+    The heavy models are materialized once so each check reads them instead of
+    recomputing the pipeline.
     """
     from tessera.operators import relations as R
     from tessera.session import cut_lineage
 
-    ds, dtr = P.dim_station(spark, sf_dir), P.dim_tract(spark, sf_dir)
+    models = {
+        "stg_hourly": T.stg_hourly(spark, sf_dir), "stg_station": T.stg_station(spark, sf_dir),
+        "stg_tracts": T.stg_tracts(spark, sf_dir), "stg_acs": T.stg_acs(spark, sf_dir),
+        "stg_tract_elevation": T.stg_tract_elevation(spark, sf_dir),
+        "stg_station_elevation": T.stg_station_elevation(spark, sf_dir),
+        "dim_station": P.dim_station(spark, sf_dir), "dim_tract": P.dim_tract(spark, sf_dir),
+    }
     h = cut_lineage(P.int_hourly(spark, sf_dir))
     pw = cut_lineage(R.prevailing_wind(h))
-    dist = cut_lineage(R.tract_station_distance(ds, dtr))
-    w = cut_lineage(R.station_weights(ds, dtr, pw))
-    fact = P.fact_tract_hourly(spark, sf_dir, h, w)
-    obs = T.stg_hourly(spark, sf_dir)
-    checks = [
-        Check("not_null(station)", "stg_hourly", lambda: X.not_null(obs, "station")),
-        Check("relationships(station→dim_station)", "stg_hourly", lambda: X.relationships(obs, "station", ds, "station"),
-              severity="warn"),
-        Check("unique(station)", "dim_station", lambda: X.unique(ds, "station")),
-        Check("not_null(latitude)", "dim_station", lambda: X.not_null(ds, "latitude")),
-        Check("unique(tract)", "dim_tract", lambda: X.unique(dtr, "tract")),
-        Check("not_null(tract_bucket)", "dim_tract", lambda: X.not_null(dtr, "tract_bucket")),
-        Check("between(tract_bucket,0,15)", "dim_tract", lambda: X.column_values_to_be_between(dtr, "tract_bucket", 0, 15)),
-        Check("not_null(floored_timestamp)", "int_hourly", lambda: X.not_null(h, "floored_timestamp")),
-        Check("unique(station||season)", "prevailing_wind", lambda: X.unique(pw, "concat(station, '-', season)")),
-        Check("accepted_values(season)", "prevailing_wind",
-              lambda: X.accepted_values(pw, "season", ["DJF", "MAM", "JJA", "SON"])),
-        Check("between(direction,0,360)", "prevailing_wind",
-              lambda: X.column_values_to_be_between(pw, "prevailing_wind_direction_deg", 0, 360)),
-        Check("between(distance_m,0,)", "rel_tract_station_distance",
-              lambda: X.column_values_to_be_between(dist, "distance_m", 0, None)),
-        Check("between(bearing_deg,0,360)", "rel_tract_station_distance",
-              lambda: X.column_values_to_be_between(dist, "bearing_deg", 0, 360)),
-        Check("compound_unique(station,tract)", "rel_tract_station_distance",
-              lambda: X.compound_columns_to_be_unique(dist, ["station", "tract"])),
-        Check("compound_unique(station,tract,season)", "rel_station_weights",
-              lambda: X.compound_columns_to_be_unique(w, ["station", "tract", "season"])),
-        *[Check(f"between({c},0,1)", "rel_station_weights", (lambda c=c: X.column_values_to_be_between(w, c, 0, 1)))
-          for c in ("wind_alignment", "elevation_penalty", "distance_factor", "raw_weight", "final_weight")],
-        Check("not_null(stations_used)", "rel_station_weights", lambda: X.not_null(w, "stations_used")),
-        Check("relationships(tract→dim_tract)", "fact_tract_hourly", lambda: X.relationships(fact, "tract", dtr, "tract")),
-        Check("between(weighted_wind_direction,0,360)", "fact_tract_hourly",
-              lambda: X.column_values_to_be_between(fact, "weighted_wind_direction", 0, 360)),
-        Check("compound_unique(tract,floored_timestamp)", "fact_tract_hourly",
-              lambda: X.compound_columns_to_be_unique(fact, ["tract", "floored_timestamp"])),
-    ]
+    w = cut_lineage(R.station_weights(models["dim_station"], models["dim_tract"], pw))
+    models.update({
+        "int_hourly": h, "prevailing_wind": pw,
+        "rel_tract_station_distance": R.tract_station_distance(models["dim_station"], models["dim_tract"]),
+        "rel_station_weights": w, "fact_tract_hourly": P.fact_tract_hourly(spark, sf_dir, h, w),
+    })
+
+    def run(kind, model, col, extra):
+        df = models[model]
+        if kind == "not_null":
+            return X.not_null(df, col)
+        if kind == "unique":
+            return X.compound_columns_to_be_unique(df, list(col), "any_value_is_missing") if isinstance(col, tuple) \
+                else X.unique(df, col)
+        if kind == "relationships":
+            return X.relationships(df, col, models[extra[0]], extra[1])
+        if kind == "accepted_values":
+            return X.accepted_values(df, col, list(extra))
+        return X.column_values_to_be_between(df, col, extra[0], extra[1])
+
+    checks = [Check(_check_name(k, c, e), m, (lambda k=k, m=m, c=c, e=e: run(k, m, c, e)), severity=_severity(k, m))
+              for k, m, c, e in _MODEL_CHECKS]
     return run_suite(checks)
