@@ -189,3 +189,15 @@ def test_running_total_ties_share(spark):
     assert dec[(1, "2020-10-21", 1.0)] == 6.0 and dec[(2, "2020-10-21", 5.0)] == 5.0
     assert n(X.column_values_to_be_increasing(running_total(df, "v", ["idx"], "date_col"), "running_total",
                                               sort_column="date_col", strictly=False, group_by=["idx"])) == 0
+
+
+def test_equal_expression_outer_semantics(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 2), ("y", 5), (None, 7)], "k string, v int")
+    b = spark.createDataFrame([("x", 3), ("z", 4), (None, 7)], "k string, v int")
+    rows = {(r.col_1, r.expression, r.compare_expression, r.expression_difference)
+            for r in X.equal_expression(a, "sum(v)", b, "sum(v)", ["k"]).collect()}
+    # x matches (3 = 3); y and z exist on one side only (missing side counts as 0);
+    # NULL keys never match, so each side's NULL group fails on its own
+    assert rows == {("y", 5, None, 5), ("z", None, 4, 4), (None, 7, None, 7), (None, None, 7, 7)}
+    pct = X.equal_expression(a, "sum(v)", b, "sum(v) * 2", ["k"], tolerance_percent=0.5).collect()
+    assert {r.col_1 for r in pct} == {"x", "y", None}  # z: percent is NULL (no own value) and passes
