@@ -696,9 +696,9 @@ def row_values_to_have_data_for_every_n_datepart(df, date_col, date_part="day",
     d = F.col(date_col)
     bounds = src.agg(F.min(d.cast("date")).alias("_s"), F.max(d.cast("date")).alias("_e"))
     if test_start_date is not None:
-        bounds = bounds.withColumn("_s", F.lit(test_start_date).cast("date"))
+        bounds = bounds.withColumn("_s", _ts(test_start_date).cast("date"))
     if test_end_date is not None:
-        bounds = bounds.withColumn("_e", F.lit(test_end_date).cast("date"))
+        bounds = bounds.withColumn("_e", _ts(test_end_date).cast("date"))
     spine = date_spine_between(bounds, "_s", "_e", date_part, out=f"date_{date_part}")
     from tessera.functions.calendar import trunc_ntz
 
