@@ -539,9 +539,14 @@ def table_aggregation_to_equal_other_table(df, expression, compare_df, compare_e
 
 
 def _ts(x) -> Column:
+    """A timestamp argument: datetime/date objects and ISO date(-time) text are literals, other text is SQL."""
+    import re
+
     from tessera.functions.calendar import ntz_lit
 
-    return ntz_lit(x) if isinstance(x, (_dt.datetime, _dt.date)) else _e(x)
+    if isinstance(x, (_dt.datetime, _dt.date)) or (isinstance(x, str) and re.match(r"^\d{4}-\d{2}-\d{2}([ T].*)?$", x)):
+        return ntz_lit(x)
+    return _e(x)
 
 
 def _shift(ts: Column, datepart: str, n: int) -> Column:

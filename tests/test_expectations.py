@@ -201,3 +201,13 @@ def test_equal_expression_outer_semantics(spark):
     assert rows == {("y", 5, None, 5), ("z", None, 4, 4), (None, 7, None, 7), (None, None, 7, 7)}
     pct = X.equal_expression(a, "sum(v)", b, "sum(v) * 2", ["k"], tolerance_percent=0.5).collect()
     assert {r.col_1 for r in pct} == {"x", "y", None}  # z: percent is NULL (no own value) and passes
+
+
+def test_every_period_explicit_bounds(spark):
+    df = spark.createDataFrame([(dt.datetime(2024, 1, d),) for d in (1, 2, 4)], "d timestamp_ntz")
+    miss = X.row_values_to_have_data_for_every_n_datepart(df, "d", "day", test_start_date=dt.date(2024, 1, 1),
+                                                          test_end_date="2024-01-06")
+    assert sorted(r.date_day for r in miss.collect()) == [dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 5)]
+    # latest row 2024-01-04 00:00 is 36 h before "now": stale for a 1-day window, fresh for 2 days
+    assert X.row_values_to_have_recent_data(df, "d", "day", 1, "2024-01-05 12:00:00").count() == 1
+    assert X.row_values_to_have_recent_data(df, "d", "day", 2, "2024-01-05 12:00:00").count() == 0
