@@ -189,3 +189,8 @@ def dim_hour(spark: SparkSession, today, n_days: int = 28) -> DataFrame:
 def dim_week(spark: SparkSession, today, n_weeks: int = 52) -> DataFrame:
     """DAT-33: the ``n_weeks`` week starts before ``today``."""
     return get_base_dates(spark, n_dateparts=n_weeks, datepart="week", today=today)
+
+
+def get_date_dimension(spark: SparkSession, start_date, end_date) -> DataFrame:
+    """DAT-29 in the library's call shape: the date dimension for [start_date, end_date)."""
+    return date_dimension(get_base_dates(spark, start_date, end_date))

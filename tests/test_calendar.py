@@ -58,8 +58,7 @@ def test_spine_end_exclusive_and_series(spark):
 
 
 def test_fiscal_calendar(spark):
-    base = K.get_base_dates(spark, "2015-01-01", "2022-12-31")
-    dim = K.date_dimension(base)
+    dim = K.get_date_dimension(spark, "2015-01-01", "2022-12-31")
     assert len(dim.columns) == 36  # date_day + 35 attributes, as the reference builds it
     fp = K.fiscal_periods(dim, year_end_month=1, week_start_day=1, shift_year=1)
     weeks = fp.groupBy("fiscal_year_number").agg(F.max("fiscal_week_of_year").alias("w")).collect()
