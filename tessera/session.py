@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,4 +62,31 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    for scope in _SCOPES:
+        scope.append(path)
     return spark.read.parquet(path)
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete the scratch tables ``cut_lineage`` writes inside the block when it exits.
+
+    Use around work whose results are written elsewhere before the block ends
+    (DataFrames that still read a scratch table must not outlive the scope).
+    Deletion goes through the Hadoop FileSystem of each path, so it works on
+    shared cluster storage as well as locally.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)
