@@ -20,11 +20,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.operators.ordered import group_quantile, previous_in_order
 
-Expr = "str | Column"
 
 
 def _e(x) -> Column:
