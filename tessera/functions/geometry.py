@@ -118,19 +118,35 @@ def _ring_moments(ring: Column, ox: Column, oy: Column) -> Column:
 def with_polygon_metrics(df: DataFrame, rings: str = "rings", out: str = "m", p: Albers = CONUS_ALBERS) -> DataFrame:
     """GEO-12/13/14: add struct ``out`` = (area_m2, centroid_lat, centroid_lon, bbox_minx, bbox_miny, bbox_maxx, bbox_maxy).
 
-    Staged projections keep every intermediate (projected rings, origin, ring
-    moments, authalic latitude) computed once per row. Holes subtract whatever
-    their stored orientation; NULL or empty rings give NULL metrics.
+    ``rings`` is a polygon (``array<array<struct<x,y>>>``, exterior first) or a
+    multi-polygon (``array<array<array<struct<x,y>>>>``, one polygon per part);
+    parts add their area-weighted moments. Staged projections keep every
+    intermediate (projected rings, origin, ring moments, authalic latitude)
+    computed once per row. Holes subtract whatever their stored orientation;
+    NULL or empty rings give NULL metrics.
     """
     n, c, rho0, qp = p.consts
     e2 = p.e2
     e4, e6 = e2 * e2, e2 * e2 * e2
-    r = F.col(rings)
-    d = df.withColumn("_proj", F.transform(r, lambda ring: _project_ring(ring, p)))
-    d = d.withColumn("_o", F.col("_proj")[0][0])
+    from pyspark.sql import types as T
+
+    dtype = df.schema[rings].dataType
+    multi = isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.ArrayType) and isinstance(
+        dtype.elementType.elementType, T.ArrayType)
+    # one list of (role, ring): +1 for each part's exterior ring, -1 for its holes
+    tagged = (F.flatten(F.transform(F.col(rings), lambda part: F.transform(
+        part, lambda ring, i: F.struct(F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("role"),
+                                       ring.alias("ring"))))) if multi else
+        F.transform(F.col(rings), lambda ring, i: F.struct(
+            F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("role"), ring.alias("ring"))))
+    r = F.transform(tagged, lambda t: t["ring"])
+    d = df.withColumn("_tagged", tagged)
+    d = d.withColumn("_proj", F.transform(F.col("_tagged"), lambda t: F.struct(
+        t["role"].alias("role"), _project_ring(t["ring"], p).alias("ring"))))
+    d = d.withColumn("_o", F.col("_proj")[0]["ring"][0])
     ox, oy = F.col("_o")["x"], F.col("_o")["y"]
-    mom = F.transform(F.col("_proj"), lambda ring, i: F.struct(
-        F.when(i == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("role"), _ring_moments(ring, ox, oy).alias("m")))
+    mom = F.transform(F.col("_proj"), lambda t: F.struct(t["role"].alias("role"),
+                                                          _ring_moments(t["ring"], ox, oy).alias("m")))
     d = d.withColumn("_mom", mom)
     zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
     tot = F.aggregate(F.col("_mom"), zero, lambda acc, t: F.struct(
@@ -156,4 +172,4 @@ def with_polygon_metrics(df: DataFrame, rings: str = "rings", out: str = "m", p:
         F.array_min(xs).alias("bbox_minx"), F.array_min(ys).alias("bbox_miny"),
         F.array_max(xs).alias("bbox_maxx"), F.array_max(ys).alias("bbox_maxy"),
     ))
-    return d.drop("_proj", "_o", "_mom", "_tot", "_cx", "_cy", "_rho", "_theta", "_beta")
+    return d.drop("_tagged", "_proj", "_o", "_mom", "_tot", "_cx", "_cy", "_rho", "_theta", "_beta")

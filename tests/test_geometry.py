@@ -59,3 +59,16 @@ def test_normalize_tracts_fixture(spark):
     assert bytes(r.geometry_wkb) == b"\x01"
     with pytest.raises(ValueError, match="GEOID"):
         N.normalize_tracts(df.drop("GEOID"))
+
+
+def test_multipolygon_parts_add(spark):
+    a = [(-96.5, 30.0), (-96.4, 30.0), (-96.4, 30.1), (-96.5, 30.1), (-96.5, 30.0)]
+    b = [(-95.6, 30.0), (-95.5, 30.0), (-95.5, 30.1), (-95.6, 30.1), (-95.6, 30.0)]
+    pt = lambda ring: [{"x": x, "y": y} for x, y in ring]
+    single = spark.createDataFrame([([pt(a)],), ([pt(b)],)], RING_SCHEMA)
+    sa, sb = [r.m for r in with_polygon_metrics(single).select("m").collect()]
+    multi = spark.createDataFrame([([[pt(a)], [pt(b)]],)], "rings array<array<array<struct<x: double, y: double>>>>")
+    m = with_polygon_metrics(multi).select("m").first().m
+    assert abs(m.area_m2 - (sa.area_m2 + sb.area_m2)) < 1e-3
+    assert abs(m.centroid_lon + 96.0) < 1e-6  # two mirror-image squares about the central meridian
+    assert (m.bbox_minx, m.bbox_maxx) == (-96.5, -95.5)
