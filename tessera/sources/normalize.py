@@ -94,6 +94,22 @@ def read_raw_hourly_csv(spark: SparkSession, paths: Sequence[str] | str) -> Data
         "year", F.regexp_extract(path, r"/(\d{4})/[^/]+$", 1).try_cast("int"))
 
 
+def raw_paths_for_years(spark: SparkSession, base_dir: str, years) -> list[str]:
+    """SRC-02: ``<base>/<year>/*.csv`` globs for the requested years whose folder exists (sorted).
+
+    Checked through the Hadoop FileSystem, so it works on cluster storage; the
+    list has one entry per year, never per file.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for y in sorted(set(int(v) for v in years)):
+        folder = jvm.org.apache.hadoop.fs.Path(f"{base_dir.rstrip('/')}/{y}")
+        if folder.getFileSystem(conf).exists(folder):
+            out.append(f"{base_dir.rstrip('/')}/{y}/*.csv")
+    return out
+
+
 def select_and_rename(df: DataFrame, mapping: dict[str, str] = HOURLY_VARIABLES, keep: Sequence[str] = ()) -> DataFrame:
     """PRJ-01: project and rename by the ordered map; a missing raw column is an error."""
     missing = [c for c in mapping if c not in df.columns]

@@ -59,7 +59,9 @@ def test_csv_scan_year_from_path(spark, tmp_path):
     d = tmp_path / "raw" / "2025"
     d.mkdir(parents=True)
     (d / "72662604864.csv").write_text(",".join(CSV_ORDER) + "\n" + ",".join(ROW1) + "\n" + ",".join(ROW2) + "\n")
-    raw = N.read_raw_hourly_csv(spark, str(tmp_path / "raw" / "*" / "*.csv"))
+    paths = N.raw_paths_for_years(spark, str(tmp_path / "raw"), [2024, 2025])  # 2024 absent → skipped
+    assert paths == [str(tmp_path / "raw" / "2025" / "*.csv")]
+    raw = N.read_raw_hourly_csv(spark, paths)
     rows = raw.select("year", "STATION").distinct().collect()
     assert [(r["year"], r["STATION"]) for r in rows] == [(2025, "72662604864")]
     norm = N.normalize_hourly(raw, keep=["source_file"])
