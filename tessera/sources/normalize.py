@@ -94,6 +94,17 @@ def read_raw_hourly_csv(spark: SparkSession, paths: Sequence[str] | str) -> Data
         "year", F.regexp_extract(path, r"/(\d{4})/[^/]+$", 1).try_cast("int"))
 
 
+def read_text_csv(spark: SparkSession, paths) -> DataFrame:
+    """SRC-03: header CSV with every column read as text (no inference), named by the header."""
+    return spark.read.option("header", True).option("enforceSchema", False).option("inferSchema", False).csv(paths)
+
+
+def read_staged(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """SRC-05: a staged table read with its declared schema, every column cast leniently."""
+    df = spark.read.parquet(path)
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def raw_paths_for_years(spark: SparkSession, base_dir: str, years) -> list[str]:
     """SRC-02: ``<base>/<year>/*.csv`` globs for the requested years whose folder exists (sorted).
 

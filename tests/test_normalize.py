@@ -174,3 +174,18 @@ def test_sinks_and_preview(spark, tmp_path):
     T.write_table(spark.range(9), path, skip_if_exists=True)  # existing output left alone
     assert T.preview(spark, path, 100).count() == 5
     assert [r.column_name for r in T.describe_columns(spark.read.parquet(path)).collect()] == ["id"]
+
+
+def test_acs_csv_roundtrip(spark, tmp_path):
+    from tessera.sources.schemas import ACS5_VARIABLES as V
+
+    head = ["state", "county", "tract"] + list(V)
+    (tmp_path / "acs.csv").write_text(",".join(head) + "\n" + ",".join(["55", "1", "100"] + ["10"] * len(V)) + "\n")
+    out = N.normalize_acs(N.read_text_csv(spark, str(tmp_path / "acs.csv"))).first()
+    assert (out.state, out.county, out.tract_code, out.tract) == ("55", "001", "000100", "55001000100")
+    staged = str(tmp_path / "staged")
+    N.normalize_hourly(spark.createDataFrame([ROW1], CSV_ORDER)).write.parquet(staged)
+    from tessera.sources.schemas import STG_HOURLY
+
+    typed = N.read_staged(spark, staged, STG_HOURLY)
+    assert typed.schema == STG_HOURLY and typed.first().dry_bulb_temp == 32.0
