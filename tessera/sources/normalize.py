@@ -308,6 +308,23 @@ def normalize_acs(raw: DataFrame, variables: dict[str, str] = ACS5_VARIABLES) ->
     )
 
 
+def stage_acs(normalized: DataFrame, variables: dict[str, str] = ACS5_VARIABLES) -> DataFrame:
+    """PRJ-14 (census): ids renamed, counts as int (rounded first: the reference engine's cast rounds,
+    Spark's truncates), the four median measures as float32."""
+    from tessera.sources.schemas import ACS5_FLOAT_MEASURES
+
+    def typed(name: str) -> Column:
+        if name in ACS5_FLOAT_MEASURES:
+            return F.col(name).try_cast("float")
+        return F.round(F.col(name)).try_cast("int")
+
+    return normalized.select(
+        F.col("tract").cast("string").alias("tract"), F.col("state").cast("string").alias("state_fips"),
+        F.col("county").cast("string").alias("county_fips"), F.col("tract_code").cast("string").alias("tract_code"),
+        *[typed(v).alias(v) for v in variables.values()],
+    )
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], what: str = "input") -> None:
     """PRJ-11: fail fast, before any job, when required columns are absent."""
     missing = [c for c in columns if c not in df.columns]

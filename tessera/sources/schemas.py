@@ -97,6 +97,9 @@ ACS5_VARIABLES = {
     "B25024_010E": "housing_mobile_home",
 }
 
+# Census measures staged as 32-bit floats; every other measure is an integer count.
+ACS5_FLOAT_MEASURES = ("median_age", "median_household_income", "median_home_value", "median_gross_rent")
+
 # Optional station metadata fields kept (when present) and their renames.
 STATION_KEEP = ("id", "name", "latitude", "longitude", "elevation", "datacoverage", "mindate", "maxdate")
 STATION_RENAME = {"id": "station", "datacoverage": "data_coverage", "mindate": "min_date", "maxdate": "max_date"}

@@ -189,3 +189,14 @@ def test_acs_csv_roundtrip(spark, tmp_path):
 
     typed = N.read_staged(spark, staged, STG_HOURLY)
     assert typed.schema == STG_HOURLY and typed.first().dry_bulb_temp == 32.0
+
+
+def test_stage_acs_types_and_rounding(spark):
+    from pyspark.sql import types as T
+
+    out = N.stage_acs(N.normalize_acs(_acs_raw(spark, "2.5")))
+    r = out.first()
+    assert out.columns[:4] == ["tract", "state_fips", "county_fips", "tract_code"]
+    assert r.population_total == 3 and abs(r.median_age - 2.5) < 1e-6  # count rounded, median kept
+    assert isinstance(out.schema["population_total"].dataType, T.IntegerType)
+    assert isinstance(out.schema["median_age"].dataType, T.FloatType)
