@@ -325,6 +325,21 @@ def stage_acs(normalized: DataFrame, variables: dict[str, str] = ACS5_VARIABLES)
     )
 
 
+def stage_station(stations: DataFrame) -> DataFrame:
+    """PRJ-14 (stations): declared staging types; absent optional fields become typed NULL columns."""
+    from tessera.sources.schemas import STG_STATION
+
+    return stations.select(*[
+        (F.col(f.name) if f.name in stations.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
+        for f in STG_STATION.fields])
+
+
+def stage_elevation(points: DataFrame, id_col: str) -> DataFrame:
+    """PRJ-14 (elevation points): (id, lat, lon, elevation_m) as text id and float32 values."""
+    return points.select(F.col(id_col).cast("string").alias(id_col),
+                         *[F.col(c).try_cast("float").alias(c) for c in ("lat", "lon", "elevation_m")])
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], what: str = "input") -> None:
     """PRJ-11: fail fast, before any job, when required columns are absent."""
     missing = [c for c in columns if c not in df.columns]

@@ -200,3 +200,16 @@ def test_stage_acs_types_and_rounding(spark):
     assert r.population_total == 3 and abs(r.median_age - 2.5) < 1e-6  # count rounded, median kept
     assert isinstance(out.schema["population_total"].dataType, T.IntegerType)
     assert isinstance(out.schema["median_age"].dataType, T.FloatType)
+
+
+def test_stage_station_and_elevation(spark):
+    import datetime as dt
+
+    pages = spark.createDataFrame([('{"results":[{"id":"A","name":"n","latitude":"44.1","longitude":"-88.1",'
+                                    '"datacoverage":"0.9","mindate":"2020-01-01","maxdate":"2024-12-31"}]}',)], ["body"])
+    st = N.stage_station(N.parse_station_pages(pages)).first()
+    assert st.station == "A" and abs(st.latitude - 44.1) < 1e-5 and st.elevation is None
+    assert st.min_date == dt.date(2020, 1, 1)
+    pts = spark.createDataFrame([("A", "44.1", "-88.1", "123.45")], "station string, lat string, lon string, elevation_m string")
+    e = N.stage_elevation(pts, "station").first()
+    assert abs(e.elevation_m - 123.45) < 1e-3
