@@ -340,6 +340,13 @@ def stage_elevation(points: DataFrame, id_col: str) -> DataFrame:
                          *[F.col(c).try_cast("float").alias(c) for c in ("lat", "lon", "elevation_m")])
 
 
+def coordinate_triples(points: DataFrame, id_col: str, lat_col: str, lon_col: str) -> DataFrame:
+    """(id, lat, lon) rows for an elevation lookup; a missing column fails before any job (PRJ-11)."""
+    require_columns(points, [id_col, lat_col, lon_col], "coordinate input")
+    return points.select(F.col(id_col).alias("id"), F.col(lat_col).cast("double").alias("lat"),
+                         F.col(lon_col).cast("double").alias("lon"))
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], what: str = "input") -> None:
     """PRJ-11: fail fast, before any job, when required columns are absent."""
     missing = [c for c in columns if c not in df.columns]

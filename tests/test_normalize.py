@@ -213,3 +213,12 @@ def test_stage_station_and_elevation(spark):
     pts = spark.createDataFrame([("A", "44.1", "-88.1", "123.45")], "station string, lat string, lon string, elevation_m string")
     e = N.stage_elevation(pts, "station").first()
     assert abs(e.elevation_m - 123.45) < 1e-3
+
+
+def test_coordinate_triples(spark):
+    st = spark.createDataFrame([("A", 44.1, -88.1), ("B", 44.2, -88.2)], "station string, latitude double, longitude double")
+    assert [tuple(r) for r in N.coordinate_triples(st, "station", "latitude", "longitude").collect()] == [
+        ("A", 44.1, -88.1), ("B", 44.2, -88.2)]
+    tr = spark.createDataFrame([("T1", 44.0)], "tract string, centroid_lat double")
+    with pytest.raises(ValueError, match="centroid_lon"):
+        N.coordinate_triples(tr, "tract", "centroid_lat", "centroid_lon")
