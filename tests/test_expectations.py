@@ -211,3 +211,10 @@ def test_every_period_explicit_bounds(spark):
     # latest row 2024-01-04 00:00 is 36 h before "now": stale for a 1-day window, fresh for 2 days
     assert X.row_values_to_have_recent_data(df, "d", "day", 1, "2024-01-05 12:00:00").count() == 1
     assert X.row_values_to_have_recent_data(df, "d", "day", 2, "2024-01-05 12:00:00").count() == 0
+
+
+def test_regex_flags(data_text):
+    assert n(X.column_values_to_match_regex(data_text, "email_address", "GMAIL", flags="i")) == 1  # ab@mail.com
+    assert n(X.column_values_to_match_regex(data_text, "email_address", "GMAIL")) == 4
+    with pytest.raises(ValueError):
+        X.column_values_to_match_regex(data_text, "email_address", "x", flags="q")
