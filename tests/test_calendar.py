@@ -93,3 +93,38 @@ def test_hour_and_week_dims(spark):
     assert len(h) >= 48 and h[-1][0] == dt.datetime(2021, 1, 10, 23)
     w = K.dim_week(spark, dt.date(2021, 1, 10), n_weeks=3).collect()
     assert len(w) == 3 and w[0][0] == dt.datetime(2020, 12, 20)  # n week starts; the end is exclusive
+
+
+def test_random_instants_match_duckdb(spark):
+    import random
+
+    import duckdb
+
+    rnd = random.Random(17)
+    base = dt.datetime(1900, 1, 1)
+    pairs = [(base + dt.timedelta(seconds=rnd.randint(0, 200 * 365 * 86400)),
+              base + dt.timedelta(seconds=rnd.randint(0, 200 * 365 * 86400))) for _ in range(500)]
+    df = spark.createDataFrame(pairs, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select(
+        "a", "b",
+        C.datediff_boundaries("a", "b", "year").alias("dy"), C.datediff_boundaries("a", "b", "month").alias("dm"),
+        C.datediff_boundaries("a", "b", "week").alias("dw"), C.datediff_boundaries("a", "b", "day").alias("dd"),
+        C.datediff_boundaries("a", "b", "hour").alias("dh"), C.week_start("a").alias("ws"),
+        C.iso_week_start("a").alias("iws"), C.iso_week_of_year("a").alias("iwoy"), C.week_of_year("a").alias("woy"),
+        C.day_of_week("a", False).alias("dow"), C.last_day("a", "quarter").alias("qe"), C.round_timestamp("a").alias("r"),
+        C.trunc_ntz("hour", "a").alias("th"), C.to_unixtimestamp("a").alias("u"),
+    ).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (a TIMESTAMP, b TIMESTAMP)")
+    con.executemany("INSERT INTO p VALUES (?, ?)", pairs)
+    want = con.execute("""
+        SELECT a, b, date_diff('year', a, b), date_diff('month', a, b), date_diff('week', a, b), date_diff('day', a, b),
+               date_diff('hour', a, b), CAST(a AS DATE) - CAST(dayofweek(a) AS INTEGER), CAST(date_trunc('week', a) AS DATE),
+               weekofyear(a), CAST(ceil(dayofyear(a) / 7) AS INTEGER), dayofweek(a) + 1,
+               CAST(date_trunc('quarter', a) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE),
+               date_trunc('day', a + INTERVAL 12 HOUR), date_trunc('hour', a), epoch(a)
+        FROM p""").fetchall()
+    key = lambda r: (r[0], r[1])
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert tuple(g)[:13] == tuple(w)[:13], (g, w)
+        assert g[13] == w[13] and g[14] == w[14] and abs(g[15] - w[15]) < 1e-6, (g, w)
