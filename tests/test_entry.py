@@ -18,3 +18,8 @@ def test_every_query_runs_on_smoke_data(spark):
     for name, fn in entry.queries().items():
         df = fn(spark, SMOKE)
         df.write.format("noop").mode("overwrite").save()
+
+
+def test_entry_schema_is_stable(spark):
+    entry = importlib.import_module("__spark_entry__")
+    assert entry.entry(spark).schema == entry.entry(spark).schema
