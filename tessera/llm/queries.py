@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_dedup, sharding, warc_zip
+from tessera.llm import line_dedup, pii_gbt, quality_mcd, sharding, warc_zip
 
 QUERIES = {
+    "op1_gbt_pii": pii_gbt.op1_gbt_pii,
     "op2_external_shuffle": sharding.op2_external_shuffle,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op6_zip_warc": warc_zip.op6_zip_warc,
+    "op10_robust_outliers": quality_mcd.op10_robust_outliers,
 }
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
