@@ -41,11 +41,11 @@ def running_offsets(sizes: DataFrame, keys: list[str], order: str, value: str, o
     Two levels, so no task holds a key's rows: sums per run of ``chunk`` orders, a running sum over those, and a
     running sum inside each run.
     """
-    part = sizes.withColumn("_run", F.floor(F.col(order) / chunk).cast("long"))
-    runs = part.groupBy(*keys, "_run").agg(F.sum(value).alias("_sum"))
-    ahead = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(*keys, "_run", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(*keys, "_run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (part.join(runs, [*keys, "_run"])
-            .withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
-            .drop("_run", "_base"))
+    part = sizes.withColumn("_ro_run", F.floor(F.col(order) / chunk).cast("long"))
+    runs = part.groupBy(*keys, "_ro_run").agg(F.sum(value).alias("_ro_sum"))
+    ahead = Window.partitionBy(*keys).orderBy("_ro_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(*keys, "_ro_run", F.coalesce(F.sum("_ro_sum").over(ahead), F.lit(0)).alias("_ro_base"))
+    inside = Window.partitionBy(*keys, "_ro_run").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (part.join(runs, [*keys, "_ro_run"])
+            .withColumn(out, F.col("_ro_base") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .drop("_ro_run", "_ro_base"))

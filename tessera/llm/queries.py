@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_dedup, pii_gbt, quality_mcd, sharding, warc_zip
+from tessera.llm import line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding, sp_nbest, warc_zip
 
 QUERIES = {
     "op1_gbt_pii": pii_gbt.op1_gbt_pii,
     "op2_external_shuffle": sharding.op2_external_shuffle,
     "op4_line_dedup": line_dedup.op4_line_dedup,
+    "op5_nbest_pieces": sp_nbest.op5_nbest_pieces,
     "op6_zip_warc": warc_zip.op6_zip_warc,
+    "op7_block_mix": mixing.op7_block_mix,
+    "op9_lz_phrases": lz_fingerprint.op9_lz_phrases,
     "op10_robust_outliers": quality_mcd.op10_robust_outliers,
 }
 ORACLE_SQL = {
