@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding, sp_nbest, warc_zip
+from tessera.llm import hmm_lm, line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding, sp_nbest, warc_zip
 
 QUERIES = {
     "op1_gbt_pii": pii_gbt.op1_gbt_pii,
     "op2_external_shuffle": sharding.op2_external_shuffle,
+    "op3_hmm_scores": hmm_lm.op3_hmm_scores,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_nbest_pieces": sp_nbest.op5_nbest_pieces,
     "op6_zip_warc": warc_zip.op6_zip_warc,
