@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import hmm_lm, line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding, sp_nbest, warc_zip
+from tessera.llm import hmm_lm, jaccard_bayes, line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding, sp_nbest, warc_zip
 
 QUERIES = {
     "op1_gbt_pii": pii_gbt.op1_gbt_pii,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_nbest_pieces": sp_nbest.op5_nbest_pieces,
     "op6_zip_warc": warc_zip.op6_zip_warc,
     "op7_block_mix": mixing.op7_block_mix,
+    "op8_bayes_jaccard": jaccard_bayes.op8_bayes_jaccard,
     "op9_lz_phrases": lz_fingerprint.op9_lz_phrases,
     "op10_robust_outliers": quality_mcd.op10_robust_outliers,
 }
