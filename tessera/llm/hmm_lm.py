@@ -194,10 +194,11 @@ class Recursion:
 
 
 def new_model(unigram: np.ndarray, states: int = STATES, seed: int = 5) -> dict:
-    """Unigram emissions, shaken apart by a seeded factor so that the states can part."""
+    """Unigram emissions and even moves, shaken apart by seeded factors so that the states can part."""
     rng = np.random.default_rng(seed)
     emit = unigram[None, :] * rng.uniform(0.5, 1.5, (states, len(unigram)))
-    return {"start": np.full(states, 1 / states), "move": np.full((states, states), 1 / states), "emit": emit / emit.sum(1)[:, None]}
+    move = rng.uniform(0.5, 1.5, (states, states))
+    return {"start": np.full(states, 1 / states), "move": move / move.sum(1)[:, None], "emit": emit / emit.sum(1)[:, None]}
 
 
 def reestimated(first: np.ndarray, move: np.ndarray, emit: np.ndarray, unigram: np.ndarray) -> dict:

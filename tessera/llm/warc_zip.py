@@ -138,7 +138,7 @@ def zip_members(read_at: ReadAt, size: int) -> dict[str, dict]:
     tail_at = max(0, size - 65_557)
     tail = read_at(tail_at, size - tail_at)
     end = tail.rfind(b"PK\x05\x06")
-    while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
+    while end >= 0 and (end + 22 > len(tail) or end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail)):
         end = tail.rfind(b"PK\x05\x06", 0, end)
     if end < 0:
         raise ValueError("no end of central directory")
