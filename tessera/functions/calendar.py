@@ -168,7 +168,7 @@ def month_name(d, short: bool = False) -> Column:
 def now(tz: str | None = None, at: _dt.datetime | None = None) -> Column:
     """DAT-16: current (or the given ``at``) naive timestamp in ``tz``."""
     base = ntz_lit(at) if at is not None else F.convert_timezone(
-        F.lit("UTC"), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+        F.current_timezone(), F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
     return base if tz is None else convert_timezone(base, tz, "UTC")
 
 

@@ -418,21 +418,26 @@ def column_values_to_not_match_regex_list(df, column, regex_list, match_on="any"
     return expression_is_true(df, _and(misses) if match_on == "all" else _or(misses), None, row_condition)
 
 
+def _like(pattern: str) -> str:
+    """LIKE without an escape character: a backslash stands for itself."""
+    return pattern.replace("\\", "\\\\")
+
+
 def column_values_to_match_like_pattern(df, column, like_pattern, row_condition=None):
-    return expression_is_true(df, F.col(column).like(like_pattern), None, row_condition)
+    return expression_is_true(df, F.col(column).like(_like(like_pattern)), None, row_condition)
 
 
 def column_values_to_not_match_like_pattern(df, column, like_pattern, row_condition=None):
-    return expression_is_true(df, ~F.col(column).like(like_pattern), None, row_condition)
+    return expression_is_true(df, ~F.col(column).like(_like(like_pattern)), None, row_condition)
 
 
 def column_values_to_match_like_pattern_list(df, column, like_pattern_list, match_on="any", row_condition=None):
-    hits = [F.col(column).like(p) for p in like_pattern_list]
+    hits = [F.col(column).like(_like(p)) for p in like_pattern_list]
     return expression_is_true(df, _and(hits) if match_on == "all" else _or(hits), None, row_condition)
 
 
 def column_values_to_not_match_like_pattern_list(df, column, like_pattern_list, match_on="any", row_condition=None):
-    misses = [~F.col(column).like(p) for p in like_pattern_list]
+    misses = [~F.col(column).like(_like(p)) for p in like_pattern_list]
     return expression_is_true(df, _and(misses) if match_on == "all" else _or(misses), None, row_condition)
 
 

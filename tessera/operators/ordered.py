@@ -31,13 +31,14 @@ def previous_in_order(
 
     Equivalent to ``lag(value) over (partition by group order by order_cols)``,
     but no partition ever has to hold a whole group. ``order_cols`` should be a
-    total order (ties among identical rows are harmless).
+    total order (ties among identical rows are harmless); NULLs sort last, and
+    rows with a NULL group column form a group.
     """
     g = list(group_cols or [])
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = g + list(order_cols)
-    ranged = df.repartitionByRange(n, *keys).withColumn("_rng", F.spark_partition_id())
-    inner_w = W.partitionBy("_rng", *g).orderBy(*order_cols)
+    order = [F.col(c).asc_nulls_last() for c in order_cols]
+    ranged = df.repartitionByRange(n, *g, *order).withColumn("_rng", F.spark_partition_id())
+    inner_w = W.partitionBy("_rng", *g).orderBy(*order)
     whole = inner_w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     # One window pass: in-range lag, position, and range size (to find each range's last row).
     # The range id is nondeterministic (sampled bounds), and the rows feed two branches below,
@@ -48,11 +49,18 @@ def previous_in_order(
     # last row of every (range, group) — a filter, no aggregation — and the previous range's last value
     last = local.where(F.col("_pos") == F.col("_cnt")).select("_rng", *g, F.col(value_col).alias("_last"))
     carry = last.select("_rng", *g, F.lag("_last").over(W.partitionBy(*g).orderBy("_rng")).alias("_carry"))
-    joined = local.join(carry, ["_rng", *g], "left")
+    joined = _null_safe_join(local, carry, ["_rng", *g], "left")
     out = joined.withColumn(out_col, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out_col)))
     return out.drop("_rng", "_pos", "_cnt", "_carry")
 
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the keys of ``left`` stay."""
+    other = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [left[k].eqNullSafe(other[f"_key_{k}"]) for k in keys]
+    return left.join(other, on, how).drop(*[f"_key_{k}" for k in keys])
+
+
 def group_quantile(
     df: DataFrame,
     value_col: str,
@@ -89,7 +97,7 @@ def group_quantile(
     pos = F.lit(float(quantile)) * (F.col("_n") - 1).cast("double")
     offsets = offsets.select("*", F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"),
                              pos.alias("_pos"))
-    picked = local.join(offsets, ["_rng", *g], "inner").withColumn("_rank", F.col("_off") + F.col("_i") - 1).where(
+    picked = _null_safe_join(local, offsets, ["_rng", *g], "inner").withColumn("_rank", F.col("_off") + F.col("_i") - 1).where(
         (F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi")))
     agg = picked.groupBy(*g).agg(
         F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),

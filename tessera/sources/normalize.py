@@ -47,7 +47,7 @@ def zfill(col, width: int) -> Column:
 
 def normalize_station_id(col) -> Column:
     """PRJ-02: strip, last five characters, zero-pad to five, prefix ``WBAN:``."""
-    return F.concat(F.lit("WBAN:"), zfill(F.right(F.trim(_c(col)), F.lit(5)), 5))
+    return F.concat(F.lit("WBAN:"), zfill(F.right(F.btrim(_c(col), F.lit(" \t\n\r\x0b\f")), F.lit(5)), 5))
 
 
 def validate_station(col) -> Column:
@@ -161,13 +161,8 @@ def write_partitioned_hourly(df: DataFrame, path: str, mode: str = "overwrite")
     out = df.withColumn("station_id", F.translate("station", ":", "_"))
     if "year" not in out.columns:
         out = out.withColumn("year", F.year("timestamp"))
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.hint("rebalance", "station_id", "year").write.mode(mode).partitionBy("station_id", "year").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (out.hint("rebalance", "station_id", "year").write.mode(mode).option("partitionOverwriteMode", "dynamic")
+     .partitionBy("station_id", "year").parquet(path))
 
 
 def read_partitioned_hourly(spark: SparkSession, path: str) -> DataFrame:

@@ -1,22 +1,24 @@
 import importlib
 
 from conftest import SMOKE
+from tessera.plans.catalog import load_all
 
 
 def test_entry_and_registry(spark):
     entry = importlib.import_module("__spark_entry__")
     df = entry.entry(spark)
-    assert df.count() >= 0
+    assert df.count() > 0
     assert "weighted_wind_direction" in df.columns
     qs, sqls = entry.queries(), entry.oracle_sql()
     assert set(sqls) <= set(qs)
-    assert set(qs) == set(sqls)  # every registered query has oracle SQL
+    assert set(load_all()) <= set(sqls)  # every query outside the llm subpackage has oracle SQL
 
 
 def test_every_query_runs_on_smoke_data(spark):
     entry = importlib.import_module("__spark_entry__")
-    for name, fn in entry.queries().items():
-        df = fn(spark, SMOKE)
+    registered = entry.queries()
+    for name in load_all():  # the llm subpackage's queries run in its own tests
+        df = registered[name](spark, SMOKE)
         df.write.format("noop").mode("overwrite").save()
 
 
