@@ -265,19 +265,29 @@ def _grouped(df: DataFrame, keys: list[str], run, schema: str) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for the nodes of ``edges`` (a, b): root is the smallest node of the component. Each round takes the
-    smallest root among a node's neighbours, then that root's own root; rounds are written tables, so they can start
-    over from the last one."""
-    both = cut_lineage(edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    roots = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
-    while True:
-        seen = both.join(roots, both["b"] == roots["node"]).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        nearer = roots.join(seen, "node").select("node", F.least("root", "near").alias("root"), (F.col("near") < F.col("root")).alias("moved"))
-        nearer = cut_lineage(nearer)
-        if nearer.where("moved").isEmpty():
-            return roots
-        up = nearer.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        roots = cut_lineage(nearer.join(up, "root").select("node", F.col("next").alias("root")))
+    """(node, root) for the nodes that ``edges`` (a, b) join with others: root is the smallest node of the component.
+
+    Each round sends a node to the smallest of its neighbours and itself, and on to where that one goes, and keeps the
+    edges whose ends came to different nodes. So the edges shrink by more than half a round where the order of nodes
+    has nothing to do with the edges (they are digests). Rounds are written tables; their steps are put together from
+    the last, smallest one.
+    """
+    ends = lambda a, b: [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
+    left = cut_lineage(edges.where("a <> b").select(*ends("a", "b")).distinct())
+    roots, steps = left.select(F.col("a").alias("node"), F.col("b").alias("root")), []
+    while not left.isEmpty():
+        both = left.unionAll(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = cut_lineage(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+        up = near.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        steps.append(cut_lineage(near.join(up, "root").select("node", F.col("next").alias("root"))))
+        moved = left.join(steps[-1].toDF("a", "to_a"), "a").join(steps[-1].toDF("b", "to_b"), "b")
+        left = cut_lineage(moved.where("to_a <> to_b").select(*ends("to_a", "to_b")).distinct())
+    if steps:
+        roots = steps.pop()
+    while steps:
+        on = roots.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        roots = cut_lineage(steps.pop().join(on, "root", "left").select("node", F.coalesce("next", "root").alias("root")))
+    return roots
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

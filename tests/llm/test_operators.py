@@ -455,3 +455,24 @@ def test_covariance_ignores_a_quarter_of_outliers(spark):
 def test_chi_square():
     assert quality_mcd.chi2_cdf(2.0, 2) == pytest.approx(1 - math.exp(-1))
     assert quality_mcd.chi2_quantile(0.95, 6) == pytest.approx(12.5916, abs=1e-3)
+
+
+def test_components_match_union_find(spark):
+    rng = np.random.default_rng(5)
+    chain, star = [(k, k + 1) for k in range(1000, 1012)], [(3000, 3000 + k) for k in range(1, 40)]
+    edges = [tuple(x) for x in rng.integers(0, 300, (180, 2)).tolist()] + chain + star + star[:5] + [(7, 7), (5000, 5000)]
+    names = {x: hashlib.md5(str(x).encode()).digest() for e in edges for x in e}
+    root = {names[x]: names[x] for a, b in edges if a != b for x in (a, b)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in ((names[a], names[b]) for a, b in edges if a != b):
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    made = spark.createDataFrame([(names[a], names[b]) for a, b in edges], "a binary, b binary")
+    got = [(bytes(r["node"]), bytes(r["root"])) for r in jaccard_bayes.components(made).collect()]
+    assert sorted(got) == sorted((x, find(x)) for x in root)
+    assert jaccard_bayes.components(made.where("false")).collect() == []
