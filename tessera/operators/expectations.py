@@ -389,15 +389,25 @@ def column_most_common_value_to_be_in_set(df, column, value_set, top_n, quote_va
 
 
 def _regex(pattern: str, is_raw: bool = False, flags: str = "") -> str:
-    validate_regex_flags(flags)
-    return (f"(?{flags})" if flags else "") + pattern
+    inline = inline_flags(flags)
+    return (f"(?{inline})" if inline else "") + pattern
 
 
-def validate_regex_flags(flags: str) -> None:
-    """FUN-05: accepted flags are the RE2/Java inline options i, m, s, u, x, d."""
-    bad = [ch for ch in (flags or "") if ch not in "imsuxdU"]
-    if bad:
-        raise ValueError(f"unsupported regex flags {''.join(bad)!r}")
+def inline_flags(flags: str) -> str:
+    """FUN-05: the Java inline options for ``flags``; an unknown flag raises.
+
+    i, m, s, u, x and d are Java's own. c matches case and p keeps the dot off line ends, both Java's defaults: of c
+    and i, and of p and s, the last given counts. e (submatch) and U (ungreedy) never change whether a text matches.
+    """
+    out = ""
+    for ch in flags or "":
+        if ch not in "imsuxdUcep":
+            raise ValueError(f"unsupported regex flags {ch!r}")
+        if ch in "cp":
+            out = out.replace("i" if ch == "c" else "s", "")
+        elif ch not in "eU" and ch not in out:
+            out += ch
+    return out
 
 
 def column_values_to_match_regex(df, column, regex, row_condition=None, is_raw=False, flags=""):

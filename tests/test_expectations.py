@@ -213,6 +213,15 @@ def test_every_period_explicit_bounds(spark):
     assert X.row_values_to_have_recent_data(df, "d", "day", 2, "2024-01-05 12:00:00").count() == 0
 
 
+def test_regex_flag_alphabet(spark):
+    assert [X.inline_flags(f) for f in ("", "i", "ic", "ci", "ie", "sp", "ps", "U", "imm")] == ["", "i", "", "i", "i", "", "s", "", "im"]
+    df = spark.createDataFrame([("Ab",), ("ab",), ("a\nb",)], "x string")
+    assert n(X.column_values_to_match_regex(df, "x", "ab", flags="c")) == 2
+    assert n(X.column_values_to_match_regex(df, "x", "ab", flags="ie")) == 1
+    assert n(X.column_values_to_match_regex(df, "x", "a.*b", flags="sp")) == 2
+    assert n(X.column_values_to_match_regex(df, "x", "a.*b", flags="psi")) == 0
+
+
 def test_regex_flags(data_text):
     assert n(X.column_values_to_match_regex(data_text, "email_address", "GMAIL", flags="i")) == 1  # ab@mail.com
     assert n(X.column_values_to_match_regex(data_text, "email_address", "GMAIL")) == 4
