@@ -155,6 +155,8 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], i: np.ndarray, j: np
     """Which of the pairs of sets reach the threshold exactly."""
     sizes_l, sizes_r = np.array([len(x) for x in left]), np.array([len(x) for x in right])
     out = np.zeros(len(i), bool)
+    if not len(i):  # two blocks of a sparse group
+        return out
     order = np.argsort(i, kind="stable")
     cuts = np.flatnonzero(np.diff(i[order], prepend=-1))
     for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):

@@ -375,6 +375,21 @@ def test_blocks_find_what_pairs_find(spark, monkeypatch):
     assert {c for i, c, _ in plain if i <= 100} == {0} and max(x for *_, x in plain) == 60
 
 
+def test_blocks_without_pairs(spark, monkeypatch):
+    """A chain of single links in many blocks: most pairs of blocks have no pair that survives."""
+    words = [f"w{k}" for k in range(800)]
+    docs = spark.createDataFrame([(k, " ".join(words[10 * k : 10 * k + 100])) for k in range(60)], "doc_id long, text string")
+    monkeypatch.setattr(jaccard_bayes, "SMALL", 2)
+    monkeypatch.setattr(jaccard_bayes, "BLOCK", 4)
+    got = sorted((int(r["doc_id"]), int(r["class_id"]), r["n_links"]) for r in jaccard_bayes.near_duplicates(docs).collect())
+    assert got == [(k, 0, 1 if k in (0, 59) else 2) for k in range(60)]
+
+
+def test_no_pairs_link_nothing():
+    none = np.empty(0, np.int64)
+    assert jaccard_bayes.linked([np.arange(3, dtype=np.uint64)], [], none, none, 0.8).tolist() == []
+
+
 def test_fingerprints(spark, messy_dir, docs):
     got = rows_of(spark, messy_dir, "op9_lz_phrases")
     assert len(got) == len(docs)
