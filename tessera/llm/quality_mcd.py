@@ -1,8 +1,10 @@
 """Quality rules: robust multivariate outliers per language and source.
 
 Each document becomes a vector of transformed statistics. For each (language, source) a minimum-covariance-determinant
-estimate is fitted over all of its documents by concentration steps, as Spark aggregations: from medians and median
-deviations, keep the share ``H`` of the rows nearest by Mahalanobis distance, take their mean and covariance, repeat.
+estimate is fitted over all of its distinct vectors, each counted once however many documents have it, by concentration
+steps, as Spark aggregations: from medians and median deviations, keep the share ``H`` of the rows nearest by
+Mahalanobis distance, take their mean and covariance, repeat; and at last those of all rows within the ``USUAL``
+chi-square quantile, which uses more of the good rows.
 Documents whose distance to their group's estimate exceeds a chi-square quantile are rejected, as are those that fail
 the plain rules. A step's state is one small row per group; no group's rows meet in one task.
 """
@@ -20,9 +22,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import cut_lineage, join_small, read
 
-H = 0.75  # share of a group's rows that its estimate rests on
-STEPS = 3
-MIN_ROWS = 60  # smaller groups use their language's estimate, or the corpus's
+H = 0.5  # share of a group's distinct vectors that its estimate rests on; it breaks down when more than 1 - H are off
+STEPS = 5
+USUAL = 0.975  # chi-square quantile of the rows of the last step
+MIN_ROWS = 60  # groups of fewer distinct vectors use their language's estimate, or the corpus's
 TAIL = 1e-6  # chi-square tail beyond which a document is an outlier
 #: (statistic, floor of its standard deviation): most documents have none of the last five, so their spread can be 0
 FEATURES = {"f_length": 0.06, "f_symbols": 0.06, "f_upper": 0.06, "f_punct": 0.06, "f_dup": 0.2, "f_repeat": 0.12}
@@ -117,8 +120,11 @@ def chi2_quantile(p: float, d: int) -> float:
 
 
 CUTOFF = chi2_quantile(1 - TAIL, D)
-#: a covariance of the central share H of normal rows is too small by this factor
-CONSISTENCY = H / chi2_cdf(chi2_quantile(H, D), D + 2)
+
+
+def consistency(share: float) -> float:
+    """A covariance of the central ``share`` of normal rows is too small by this factor."""
+    return share / chi2_cdf(chi2_quantile(share, D), D + 2)
 
 
 def distance(mean: Column, inverse: Column) -> Column:
@@ -136,8 +142,8 @@ def _moments() -> list[Column]:
             F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in _PRODUCTS]).alias("products")]
 
 
-def _estimate(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Mean and inverse covariance from count, sums and products; floors keep the covariance regular."""
+def _estimate(pdf: pd.DataFrame, factor: float) -> pd.DataFrame:
+    """Mean and inverse covariance (times ``factor``) from count, sums and products; floors keep it regular."""
     floor = np.diag(np.square(list(FEATURES.values())))
     means, inverses = [], []
     for n, sums, products in zip(pdf["n"], pdf["sums"], pdf["products"], strict=True):
@@ -146,7 +152,7 @@ def _estimate(pdf: pd.DataFrame) -> pd.DataFrame:
         for (i, j), p in zip(_PRODUCTS, products, strict=True):
             cov[i, j] = cov[j, i] = p / n - mean[i] * mean[j]
         means.append(mean.tolist())
-        inverses.append(np.linalg.inv(cov * CONSISTENCY + floor).ravel().tolist())
+        inverses.append(np.linalg.inv(cov * factor + floor).ravel().tolist())
     return pdf[KEYS].assign(mean=means, inverse=inverses)
 
 
@@ -162,7 +168,7 @@ def _of_group(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFra
 
 
 def _fit(stats: DataFrame) -> DataFrame:
-    """One estimate per group of ``stats``, by concentration steps over all rows."""
+    """One estimate per group of ``stats``, by concentration steps over all rows and a last, wider step."""
     names = list(FEATURES)
     medians = F.array(*[F.percentile_approx(n, 0.5, 1000) for n in names])
     middle = cut_lineage(stats.groupBy(*KEYS).agg(medians.alias("mid")))
@@ -170,22 +176,29 @@ def _fit(stats: DataFrame) -> DataFrame:
     scale = off.groupBy(*KEYS).agg(F.first("mid").alias("mean"), medians.alias("mad"))
     inverse = [1 / (F.pow(F.col("mad")[i] * 1.4826, 2) + FEATURES[names[i]] ** 2) if i == j else F.lit(0.0) for i in range(D) for j in range(D)]
     model = cut_lineage(scale.select(*KEYS, "mean", F.array(*inverse).alias("inverse")))
-    for _ in range(STEPS):
+    usual = chi2_quantile(USUAL, D)
+    for share in [*[H] * STEPS, USUAL]:
         far = _of_group(stats, model).select(*KEYS, *names, distance(F.col("mean"), F.col("inverse")).alias("far"))
-        near = cut_lineage(far.groupBy(*KEYS).agg(F.percentile_approx("far", H, 1000).alias("most")))
-        central = _of_group(far, near).where(F.col("far") <= F.col("most"))
+        if share == H:
+            near = cut_lineage(far.groupBy(*KEYS).agg(F.percentile_approx("far", H, 1000).alias("most")))
+            central = _of_group(far, near).where(F.col("far") <= F.col("most"))
+        else:
+            central = far.where(F.col("far") <= usual)
         moments = central.groupBy(*KEYS).agg(*_moments())
-        model = cut_lineage(moments.mapInPandas(lambda it: (_estimate(x) for x in it), _SCHEMA))
+        factor = consistency(share)
+        model = cut_lineage(moments.mapInPandas(lambda it, factor=factor: (_estimate(x, factor) for x in it), _SCHEMA))
     return model
 
 
 def fit_outlier_model(stats: DataFrame) -> DataFrame:
-    """(level, lang, source, mean, inverse): estimates at three levels: 0, (lang, source) groups of MIN_ROWS rows or
-    more; 1, languages of MIN_ROWS or more (source null); 2, the corpus (both null). Null languages and sources are
-    groups of their own. Only documents that pass the plain rules take part."""
+    """(level, lang, source, mean, inverse): estimates at three levels: 0, (lang, source) groups of MIN_ROWS distinct
+    vectors or more; 1, languages of MIN_ROWS or more (source null); 2, the corpus (both null). Null languages and
+    sources are groups of their own. Only documents that pass the plain rules take part, equal vectors of a group as
+    one, so that copies of a text don't pull its estimate."""
     passed = stats.where(~base_failed(F.col)).select("lang", "source", *[x.alias(n) for n, x in features(F.col).items()])
     part = passed.withColumn("level", F.explode(F.array(*[F.lit(k) for k in range(3)]))).select(
-        "level", F.when(F.col("level") < 2, F.col("lang")).alias("lang"), F.when(F.col("level") < 1, F.col("source")).alias("source"), *FEATURES)
+        "level", F.when(F.col("level") < 2, F.col("lang")).alias("lang"), F.when(F.col("level") < 1, F.col("source")).alias("source"), *FEATURES).distinct()
+    part = cut_lineage(part)
     sizes = part.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("size")).where((F.col("size") >= MIN_ROWS) | (F.col("level") == 2))
     return _fit(cut_lineage(_of_group(part, cut_lineage(sizes.select(*KEYS)), "left_semi")))
 

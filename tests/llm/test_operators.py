@@ -467,6 +467,20 @@ def test_covariance_ignores_a_quarter_of_outliers(spark):
     assert kept == {0: True, 900: False}
 
 
+@pytest.mark.parametrize("share", [0.3, 0.4])
+@pytest.mark.parametrize("copies", [True, False])
+def test_covariance_ignores_large_groups_of_outliers(spark, share, copies):
+    """Copies of one bad row, or bad rows that all differ, are that share of a source."""
+    rng = np.random.default_rng(7)
+    n = int(600 * share / (1 - share))
+    rows = [("en", "a", int(k), int(k * 5 + rng.normal(0, 8)), 0, 0, 0, 10, 5, 4) for k in rng.integers(100, 400, 600)]
+    rows += [("en", "a", 200 + i * (not copies), 1000 + 5 * i * (not copies), 900, 0, 0, 10, 900, 4) for i in range(n)]
+    stats = spark.createDataFrame(rows, "lang string, source string, " + quality_mcd.BASE)
+    out = quality_mcd.judge(stats, quality_mcd.fit_outlier_model(stats)).collect()
+    kept = {k: np.mean([r["kept"] for r in out if r["n_symbols"] == k]) for k in (0, 900)}
+    assert kept[900] == 0 and kept[0] > 0.99
+
+
 def test_chi_square():
     assert quality_mcd.chi2_cdf(2.0, 2) == pytest.approx(1 - math.exp(-1))
     assert quality_mcd.chi2_quantile(0.95, 6) == pytest.approx(12.5916, abs=1e-3)
