@@ -92,6 +92,23 @@ def test_pii_redaction_and_added_spans(spark):
     assert redacted == "call [PII] or [PII]!"
 
 
+def added_spans(spark, rows):
+    """Thresholds, and for each id from 5000 on the added stretches by kind."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = pii_gbt.cut_lineage(pii_gbt.generate(docs, keep=["doc_id", "text"]))
+    trees, cuts = pii_gbt.fit(spans)
+    out = pii_gbt.select(spans, (trees, cuts)).where("doc.doc_id >= 5000").collect()
+    return cuts, {r["doc"]["doc_id"]: {(pii_gbt.KINDS[x["k"]], r["doc"]["text"][x["start"] : x["end"]]) for x in r["spans"] if x not in r["base"]} for r in out}
+
+
+def test_pii_every_kind_gets_a_threshold(spark):
+    rows = [(i, f"write to john{i}.b@mail{i % 90}.{['com', 'org', 'net'][i % 3]} soon, host 10.0.{i % 200}.7, call +1 (487) 555-{1000 + i} now") for i in range(600)]
+    rows += [(5000, "ask john at example dot com today"), (5001, "or john [at] x [dot] org instead"), (5002, "he works at home dot matrix printers")]
+    cuts, added = added_spans(spark, rows)
+    assert {0, 1, 3} <= set(cuts)
+    assert added == {5000: {("email", "john at example dot com")}, 5001: {("email", "john [at] x [dot] org")}, 5002: set()}
+
+
 def test_sharding(spark, messy_dir, docs):
     got = rows_of(spark, messy_dir, "op2_external_shuffle")
     want = collections.Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in docs)
