@@ -109,6 +109,24 @@ def test_pii_every_kind_gets_a_threshold(spark):
     assert added == {5000: {("email", "john at example dot com")}, 5001: {("email", "john [at] x [dot] org")}, 5002: set()}
 
 
+def test_pii_numbers_beside_numbers(spark):
+    rows = [(i, f"call +1 (487) 555-{1000 + i} or 555-{1000 + i} now") for i in range(600)]
+    texts = ["555-123-4567 555-987-6543 555-222-3333", "room 12 555-123-4567", "at 4111 1111 1111 1111. 555-987-6543", "no 555-123-4567x"]
+    docs = spark.createDataFrame(rows + [(5000 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    made = pii_gbt.cut_lineage(pii_gbt.generate(docs, keep=["doc_id", "text"]))
+    proposed = {r["doc"]["doc_id"] - 5000: {(pii_gbt.KINDS[x["k"]], r["doc"]["text"][x["start"] : x["end"]]) for x in r["proposed"]} for r in made.where("doc.doc_id >= 5000").collect()}
+    assert {("phone", x) for x in texts[0].split(" ")} <= proposed[0] and {("phone", "555-123-4567")} <= proposed[1]
+    assert ("phone", "555-987-6543") in proposed[2] and not any("1111 1111" in s and k == "card" for k, s in proposed[2])
+    assert ("phone", "1111 1111") not in proposed[2] and not any(s.endswith("4567") for _, s in proposed[3])
+    for i, t in enumerate(texts):  # every stretch between ends of groups
+        ends = [m.span() for m in re.finditer("[0-9]+", t)]
+        want = {t[a:b] for (a, _), (_, b) in itertools.product(ends, ends) if a < b and 7 <= len(re.sub("[^0-9]", "", t[a:b])) <= 15 and not re.search("[A-Za-z]", t[a : b + 1])}
+        assert {s for k, s in proposed[i] if k == "phone"} == {s for s in want if i != 2 or not set(re.findall("[0-9]+", s)) <= {"4111", "1111"}}
+    _, added = added_spans(spark, rows + [(5000, texts[0]), (5001, texts[1])])
+    assert {("phone", x) for x in texts[0].split(" ")} <= added[5000] and ("phone", "555-123-4567") in added[5001]
+    assert ("phone", "123-4567") not in added[5001]  # tied to the group before
+
+
 def test_sharding(spark, messy_dir, docs):
     got = rows_of(spark, messy_dir, "op2_external_shuffle")
     want = collections.Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in docs)
