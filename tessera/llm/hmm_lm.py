@@ -3,7 +3,9 @@
 Training documents are counted (words and an end, A-Z lower-cased). The most frequent words, at most VOCABULARY, are
 symbols of their own; every other word is the symbol of its length class, and then itself by its smoothed share in the
 class. The counts of at most KNOWN words go to the tasks; those of the others are joined. Baum-Welch trains STATES latent states over the symbols: each partition runs forward
-and backward recursions over its documents and yields expected counts, and Spark sums them. A document's log
+and backward recursions over its documents and yields expected counts, and Spark sums them, until the log likelihood
+gains less than TOLERANCE a token. It starts from a model trained likewise on a bounded sample, in which the states
+have parted; that takes most of the iterations. A document's log
 probability is the exact scaled forward likelihood of its symbols plus the shares of its rare words, which come from a
 join with the counts, as do the base score's. Nothing that grows with the corpus's vocabulary is broadcast.
 """
@@ -25,7 +27,8 @@ VOCABULARY = 16_000  # words that are symbols of the model, at most
 KNOWN = 60_000  # words whose counts tasks get, at most; an id takes two bytes
 CLASSES = 16  # by length; the last holds all longer words
 STATES = 4
-ITERATIONS = 2
+TOLERANCE = 0.002  # training ends when an iteration gains less log likelihood (natural) a token; a tenth of it in the sample
+START_TOKENS = 150_000  # of the sample that the training starts with
 SMOOTH = 0.1
 BLOCK = 64  # tokens whose transfer matrices are multiplied in step
 END = "\n"  # no word holds one
@@ -194,9 +197,10 @@ class Recursion:
 
 
 def new_model(unigram: np.ndarray, states: int = STATES, seed: int = 5) -> dict:
-    """Unigram emissions and even moves, shaken apart by seeded factors so that the states can part."""
+    """Unigram emissions and even moves, shaken apart by seeded factors. Weak ones (0.5 to 1.5) leave the states so alike
+    that early iterations gain almost nothing and would look like the end."""
     rng = np.random.default_rng(seed)
-    emit = unigram[None, :] * rng.uniform(0.5, 1.5, (states, len(unigram)))
+    emit = unigram[None, :] * np.exp(rng.normal(size=(states, len(unigram))))
     move = rng.uniform(0.5, 1.5, (states, states))
     return {"start": np.full(states, 1 / states), "move": move / move.sum(1)[:, None], "emit": emit / emit.sum(1)[:, None]}
 
@@ -239,30 +243,58 @@ def encoded(docs: DataFrame, symbols: Symbols) -> DataFrame:
     return cut_lineage(rows.mapInPandas(encode, "row long, doc_id string, held_out boolean, n_tokens long, ids binary, rare string"))
 
 
-def trained(table: DataFrame, symbol: np.ndarray, unigram: np.ndarray, iterations: int = ITERATIONS) -> dict:
-    """Baum-Welch over all training documents. A partition yields one row of counts a state, so what reaches the driver
-    is states x symbols numbers, summed by Spark."""
-    model = new_model(unigram)
+def _counted(blobs: list[bytes], model: dict, symbol: np.ndarray, n: int) -> np.ndarray:
+    """Expected counts, a row a state: first states, moves, emissions; and last the log likelihood, in the first row."""
+    k = len(model["start"])
+    out = np.zeros((k, 2 + k + n))
+    for r, _, _ in _recursions(blobs, model, symbol):
+        first, move, emit, likely = r.expected(n)
+        out[:, 0] += first
+        out[:, 1 : k + 1] += move
+        out[:, k + 1 : -1] += emit
+        out[0, -1] += likely
+    return out
+
+
+def _converged(count, model: dict, unigram: np.ndarray, tokens: int, tolerance: float) -> dict:
+    """``model`` re-estimated from ``count(model)`` until an iteration gains less than ``tolerance`` a token."""
+    last, k = -math.inf, len(model["start"])
+    while True:
+        full = count(model)
+        model = reestimated(full[:, 0], full[:, 1 : k + 1], full[:, k + 1 : -1], unigram)
+        likely = full[0, -1] / max(tokens, 1)
+        if likely - last < tolerance:
+            return model
+        last = likely
+
+
+def trained(table: DataFrame, symbol: np.ndarray, unigram: np.ndarray, tokens: int) -> dict:
+    """Baum-Welch over all training documents (of so many tokens). A partition yields one row of counts a state, so what
+    reaches the driver is states x symbols numbers, summed by Spark; and the sample of the start, equal texts once."""
     n, k = len(unigram), STATES
-    for _ in range(iterations):
-        def count(batches: Iterator[pd.DataFrame], model=model) -> Iterator[pd.DataFrame]:
-            first, move, emit = np.zeros(k), np.zeros((k, k)), np.zeros((k, n))
+    train = table.where(~F.col("held_out")).select("ids")
+    share = min(1.0, START_TOKENS / max(tokens, 1))
+    chosen = train.where(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < share * 1_000_000).distinct()
+    sample = sorted(bytes(r["ids"]) for r in chosen.collect())
+    model = _converged(lambda m: _counted(sample, m, symbol, n), new_model(unigram, k), unigram, sum(map(len, sample)) // 2, TOLERANCE / 10)
+
+    def over_all(model: dict) -> np.ndarray:
+        def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = np.zeros((k, 2 + k + n))
             for pdf in batches:
-                for r, _, _ in _recursions(list(pdf["ids"]), model, symbol):
-                    f, m, e, _ = r.expected(n)
-                    first, move, emit = first + f, move + m, emit + e
+                total += _counted(list(pdf["ids"]), model, symbol, n)
             for i in range(k):
-                row = np.concatenate([first[i : i + 1], move[i], emit[i]])
-                at = np.flatnonzero(row)
-                yield pd.DataFrame({"state": i, "at": at, "value": row[at]})
+                at = np.flatnonzero(total[i])
+                yield pd.DataFrame({"state": i, "at": at, "value": total[i, at]})
 
-        parts = table.where(~F.col("held_out")).select("ids").mapInPandas(count, "state int, at int, value double")
+        parts = train.mapInPandas(count, "state int, at int, value double")
         # summed in a fixed order of rounded values, so that reruns agree
         sums = parts.groupBy("state", "at").agg(F.sum(F.col("value").cast("decimal(30,9)")).cast("double").alias("value")).toPandas()
-        full = np.zeros((k, 1 + k + n))
+        full = np.zeros((k, 2 + k + n))
         full[sums["state"].to_numpy(int), sums["at"].to_numpy(int)] = sums["value"].to_numpy(float)
-        model = reestimated(full[:, 0], full[:, 1 : k + 1], full[:, k + 1 :], unigram)
-    return model
+        return full
+
+    return _converged(over_all, model, unigram, tokens, TOLERANCE)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -290,7 +322,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     unigram = weights / weights.sum()
 
     table = encoded(docs, symbols)
-    model = trained(table, symbols.symbol, unigram)
+    model = trained(table, symbols.symbol, unigram, n)
     base = math.log10(n + v + 1)
     plain = np.array([math.log10(x + 1) - base for x in (end, *[frequent[w] for w in words])])
     in_class = np.array([0.0] * (n_own + 1) + [math.log10(frequent[w] + 1) - math.log10(mass[min(len(w), CLASSES) - 1]) for w in words[n_own:]])

@@ -196,6 +196,21 @@ def test_hmm_training_raises_likelihood():
     assert seen[-1] > seen[0] + 1000
 
 
+def test_hmm_scores_beat_one_state(spark, monkeypatch):
+    """Words of two sets that take turns: the next set is known, so a word is worth a bit less on documents held out."""
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(f"{'ab'[t % 2]}{rng.integers(0, 20)}" for t in range(100))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def held():
+        got = hmm_lm.score_documents(docs).where("held_out").collect()
+        return sum(r["score"] for r in got) / sum(r["n_tokens"] for r in got)
+
+    full = held()
+    monkeypatch.setattr(hmm_lm, "STATES", 1)
+    assert full - held() > 0.25  # log10(2) is 0.301
+
+
 def test_lm_base_scores(spark, messy_dir, docs):
     got = rows_of(spark, messy_dir, "op3_hmm_scores")
     assert len(got) == len(docs)
