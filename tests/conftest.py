@@ -13,6 +13,3 @@ def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="tessera-tests")
     yield s
     s.stop()
-
-
-SMOKE = "/root/testdata/sf0.001"

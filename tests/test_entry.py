@@ -1,6 +1,6 @@
 import importlib
 
-from conftest import SMOKE
+from __spark_entry__ import SMOKE_DIR as SMOKE
 from tessera.plans.catalog import load_all
 
 
