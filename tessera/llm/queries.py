@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tessera.llm import hmm_lm, jaccard_bayes, line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding, sp_nbest, warc_zip
+from tessera.llm import (decontaminate, hard_negatives, hmm_lm, jaccard_bayes, line_dedup, lz_fingerprint, mixing, pii_gbt, quality_mcd, sharding,
+                         sp_nbest, warc_zip, whitening)
 
 QUERIES = {
     "op1_gbt_pii": pii_gbt.op1_gbt_pii,
@@ -15,8 +16,13 @@ QUERIES = {
     "op8_bayes_jaccard": jaccard_bayes.op8_bayes_jaccard,
     "op9_lz_phrases": lz_fingerprint.op9_lz_phrases,
     "op10_robust_outliers": quality_mcd.op10_robust_outliers,
+    "op11_benchmark_ngrams": decontaminate.op11_benchmark_ngrams,
+    "op12_slot_negatives": hard_negatives.op12_slot_negatives,
+    "op13_feast_whitening": whitening.op13_feast_whitening,
 }
 ORACLE_SQL = {
     "op4_line_dedup": line_dedup.SQL,
     "op6_zip_warc": warc_zip.SQL,
+    "op11_benchmark_ngrams": decontaminate.SQL,
+    "op12_slot_negatives": hard_negatives.SQL,
 }
