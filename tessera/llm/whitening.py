@@ -142,7 +142,8 @@ def feast(spark: SparkSession, cov: np.ndarray, wanted: int, seed: int = 5) -> t
     if not d or not np.any(cov):
         return np.empty(0), np.empty((0, d))
     scale = np.linalg.norm(cov, 2)
-    floor, tight = 16 * d * np.finfo(float).eps * scale, 4 * d * np.finfo(float).eps * scale
+    eps = np.finfo(float).eps * scale
+    floor = 16 * d * eps
     diagonal, off = tridiagonal(cov)
     low, high = bracket(diagonal, off, min(d, 4 * wanted))
     rng = np.random.default_rng(seed)
@@ -163,7 +164,7 @@ def feast(spark: SparkSession, cov: np.ndarray, wanted: int, seed: int = 5) -> t
             inside = np.flatnonzero((values > a) & (values < b))
             inside = inside[np.argsort(errors[inside])][:n]
             worst = errors[inside].max(initial=0.0) if len(inside) == n else np.inf  # inertia: none may be missing
-            if worst <= tight or (worst <= 1e4 * tight and worst > last / 2) or size == d:
+            if worst <= eps or (worst <= 1e4 * d * eps and worst > last / 2) or size == d:  # as far as doubles go
                 found += [(values[k], vectors[:, k]) for k in inside]
                 continue
             if rounds % ROUNDS == 0:

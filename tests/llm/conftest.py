@@ -33,6 +33,31 @@ def messy_rows():
     return rows
 
 
+def messy_benchmark():
+    """Items that are in the messy texts, short ones, ones without words, repeated ones, and nulls."""
+    texts = [r[1] for r in messy_rows() if r[0] in (6, 20, 30, 61, 62)]
+    cut = lambda t, a, b: "-- " + ", ".join(t.split(" ")[a:b]).upper() + "!"
+    rows = [(1, cut(texts[0], 5, 40)), (2, cut(texts[1], 0, 10)), (3, cut(texts[1], 100, 120)), (4, cut(texts[2], 0, 4)), (5, "naïve  ÜBER naïve"), (6, "one"),
+            (7, ""), (8, None), (9, " .,!\n"), (None, cut(texts[1], 30, 45)), (10, cut(texts[1], 30, 45)), (11, "This line is long enough to be shared by many documents."),
+            (11, "This line is long enough to be shared by many documents."), (12, " ".join(f"never{i}" for i in range(300))), (12, "x" * 30_000), (13, "so so so")]
+    return [r + (k, "w", "n") for k, r in enumerate(rows)]
+
+
+def messy_vectors():
+    """Vectors with ties, copies, repeated ids, other lengths, and rows that take no part."""
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 0.4) for _ in range(6)], rng.randrange(4)) for i in range(260)]
+    rows += [(1000 + i, rows[3][1], 2) for i in range(130)]  # a third of all rows share a vector
+    rows += [rows[100], rows[100], rows[7], (7, rows[8][1], 1), (7, rows[7][1], 3), (None, rows[3][1], 1), (None, rows[9][1], 2), (None, rows[9][1], 2), (200, [-x for x in rows[0][1]], 9)]
+    nan, inf = float("nan"), float("inf")
+    rows += [(300, None, 1), (301, [], 1), (302, [0.25, -0.5], 1), (303, [0.1, None, 0.2, 0.0, 0.0, 0.0], 1), (304, [nan] * 6, 1), (400, [inf] + [0.0] * 5, 2), (401, rows[5][1], None)]
+    rows += [(500, [0.0] * 6, 3), (600, [9.0, -8.0, 7.5, 0.0, 0.0, 1.0], 7)]
+    return [r + (k, "x", "v") for k, r in enumerate(rows)]
+
+
+VECTORS = "vec_id long, embedding array<float>, label int, n long, x string, v string"
+
+
 @pytest.fixture(scope="session")
 def spark():
     from tessera.session import local_session
@@ -49,6 +74,8 @@ def messy_dir(spark, tmp_path_factory):
     pages = [(None, None, None, 1), (1, "u", None, 1), (2, "u", "", 1), (3, "u v\r\nw", "<p>é</p>", 1), (4, None, "<p>é</p>", 1), (None, "u", "<p>é</p>", 1),
              (5, "u", "z" * 200_000, 1), (5, "u", "z" * 200_000, 1), (6, "u", "a\r\n\r\nb", 1)]
     spark.createDataFrame(pages, "page_id long, url string, html string, digest int").repartition(2).write.parquet(f"{base}/pages.parquet")
+    spark.createDataFrame(messy_benchmark(), "item_id long, text string, n long, words string, slice string").repartition(3).write.parquet(f"{base}/benchmark.parquet")
+    spark.createDataFrame(messy_vectors(), VECTORS).repartition(3).write.parquet(f"{base}/embeddings.parquet")
     return base
 
 
@@ -57,4 +84,6 @@ def empty_dir(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], SCHEMA + EXTRA).write.parquet(f"{base}/documents.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{base}/pages.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    spark.createDataFrame([], VECTORS).write.parquet(f"{base}/embeddings.parquet")
     return base
