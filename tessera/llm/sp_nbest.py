@@ -246,10 +246,11 @@ class Pieces:
         ahead = [0.0] + [-math.inf] * (len(incoming) - 1)
         for node in range(1, len(incoming)):
             ahead[node] = max(ahead[start] + score for start, _, score in incoming[node])
+        # ordered by what a path loses on the best one: exactly 0 along the best, whatever sums of scores round to
         out, tie = [], 0
-        heap = [(-ahead[-1], 0, len(incoming) - 1, 0.0, None)]
+        heap = [(0.0, 0, len(incoming) - 1, 0.0, None)]
         while heap and len(out) < n:
-            _, _, node, done, path = heapq.heappop(heap)
+            loss, _, node, done, path = heapq.heappop(heap)
             if node == 0:
                 ids: list[list[int]] = [[] for _ in parts]
                 while path:
@@ -258,13 +259,14 @@ class Pieces:
                 out.append((done, [tuple(x) for x in ids]))
                 continue
             for start, ids, score in incoming[node]:
-                tie += 1
-                heapq.heappush(heap, (-(ahead[start] + done + score), tie, start, done + score, (owner[node], ids, path)))
+                tie -= 1  # of equal scores the newest first, so that a run of ties is followed to its end
+                lost = loss + (ahead[node] - (ahead[start] + score))
+                heapq.heappush(heap, (lost, tie, start, done + score, (owner[node], ids, path)))
         return out
 
-    def encode_all(self, texts: list[str], n: int = 1, full: int | None = None) -> list[list[tuple[float, np.ndarray | None]]]:
-        """Per text its n best segmentations, best first: score and ids (fewer where there are fewer). Only the first
-        ``full``, if given, have their ids. Equal chunks of the texts are segmented once."""
+    def encode_all(self, texts: list[str], n: int = 1) -> list[list[tuple[float, np.ndarray]]]:
+        """Per text its n best segmentations, best first: score and ids (fewer where there are fewer). Equal chunks of
+        the texts are segmented once."""
         parts = [self.chunks(t) for t in texts]
         ends = np.cumsum([len(p) for p in parts]).tolist()
         if not ends or not ends[-1]:
@@ -285,14 +287,12 @@ class Pieces:
             if free:
                 rest = found[0][0] - math.fsum(scores[lo + k] for k in free)
                 for rank, (score, new) in enumerate(self.n_best([own[k] for k in free], n)):
-                    if rank and (full is None or rank < full):
+                    if rank:
                         whole, done = [], begin
                         for k, x in zip(free, new, strict=True):
                             whole += [ids[done : stops[lo + k] - counts[lo + k]], x]
                             done = stops[lo + k]
                         found.append((rest + score, np.concatenate([*whole, ids[done : stops[hi - 1]]]).astype(np.int32)))
-                    elif rank:
-                        found.append((rest + score, None))
             out.append(found)
             lo = hi
         return out
@@ -354,15 +354,16 @@ def _blocks(texts: Iterable[str]) -> Iterator[list[str]]:
         yield block
 
 
-SCHEMA = "ids array<int>, scores array<double>, second array<int>, decoded string"
+SCHEMA = "ids array<array<int>>, scores array<double>, decoded string"
 
 
 def segmentations(docs: DataFrame, n: int = 4, model: str | None = None) -> DataFrame:
-    """Per row of ``docs``: ``doc`` (the row as a struct) and ``best``: ids of the best segmentation of the whole text, scores of the n
-    best, ids of the second best (null where there is none), and the text that ids decode to.
+    """Per row of ``docs``: ``doc`` (the row as a struct) and ``best``: ids and scores of the n best segmentations of the whole text
+    (fewer where there are fewer), best first, and the text that the best one's ids decode to.
 
     Null text is read as empty; an empty text has no pieces and one segmentation of score 0. Equal scores come in the
-    search's order, which is fixed. Empty input: empty result. ``model`` is a SentencePiece model file that the driver
+    search's order, which is fixed. Texts of any length are segmented whole; long runs of one letter, where very many
+    segmentations tie, take time in proportion to their length. Empty input: empty result. ``model`` is a SentencePiece model file that the driver
     reads; tasks get its bytes.
     """
     with open(model or default_model(), "rb") as f:
@@ -372,19 +373,19 @@ def segmentations(docs: DataFrame, n: int = 4, model: str | None = None) -> Data
         pieces = loaded(proto)
         for texts in batches:
             for block in _blocks(texts):
-                rows = []
-                for found in pieces.encode_all(block, n, full=2):
-                    ids = found[0][1]
-                    rows.append((ids, [x[0] for x in found], found[1][1] if len(found) > 1 else None, pieces.decode(ids.tolist())))
-                yield pd.DataFrame(rows, columns=["ids", "scores", "second", "decoded"])
+                rows = [([ids for _, ids in found], [score for score, _ in found], pieces.decode(found[0][1].tolist()))
+                        for found in pieces.encode_all(block, n)]
+                yield pd.DataFrame(rows, columns=["ids", "scores", "decoded"])
 
     return docs.select(F.struct("*").alias("doc"), F.pandas_udf(encode, SCHEMA)(text_of()).alias("best"))
 
 
 def op5_nbest_pieces(spark, sf_dir):
-    """Digests of the two best segmentations of every document and of the decoded text."""
+    """Digests of the four best segmentations of every document and of the decoded text."""
     out = segmentations(read(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = lambda c: F.sha2(F.array_join(c, ","), 256)
-    return out.select("doc.doc_id", F.size("best.ids").cast("long").alias("n_pieces"), digest(F.col("best.ids")).alias("ids_sha256"),
-                      F.transform("best.scores", lambda x: F.round(x, 6)).alias("scores"), digest(F.col("best.second")).alias("second_sha256"),
+    best = F.get("best.ids", F.lit(0))
+    return out.select("doc.doc_id", F.size(best).cast("long").alias("n_pieces"), digest(best).alias("ids_sha256"),
+                      F.transform("best.scores", lambda x: F.round(x, 6)).alias("scores"), digest(F.get("best.ids", F.lit(1))).alias("second_sha256"),
+                      F.transform("best.ids", lambda x: digest(x)).alias("all_sha256"),
                       F.sha2("best.decoded", 256).alias("decoded_sha256"), (F.col("best.decoded") == text_of(F.col("doc.text"))).alias("round_trip"))

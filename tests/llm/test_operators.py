@@ -8,6 +8,7 @@ import itertools
 import math
 import re
 import struct
+import time
 import zipfile
 import zlib
 
@@ -277,6 +278,17 @@ def test_pieces_round_trip(spark, messy_dir, docs, pieces):
         if r["doc_id"] in texts and len(texts[r["doc_id"]]) < 2000:
             ids = pieces.encode(texts[r["doc_id"]], 1)[0][1]
             assert (r["n_pieces"], r["ids_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+            digests = [hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for _, x in pieces.encode(texts[r["doc_id"]], 4)]
+            assert r["all_sha256"] == digests and len(set(digests)) == len(digests)
+
+
+@pytest.mark.parametrize("text", ["x" * 2_000, "x" * 30_000, "ab" * 3_000, "=-" * 4_000, "." * 5_000])
+def test_runs_of_ties_end_soon(pieces, text):
+    began = time.monotonic()
+    found = pieces.encode(text, 4)
+    assert time.monotonic() - began < 10
+    assert len({tuple(ids) for _, ids in found}) == 4 and all(pieces.decode(ids) == text for _, ids in found)
+    assert [score for score, _ in found] == pytest.approx(sorted((score for score, _ in found), reverse=True))
 
 
 def test_archives(spark, messy_dir):
