@@ -42,7 +42,8 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """doc_id, lang, source, n_pieces, ids, score and the score of the second-best segmentation, and whether the ids
     decode to the text."""
     out = sp_nbest.segmentations(docs, n=2)
-    return out.select("doc.doc_id", "doc.lang", "doc.source", F.size("best.ids").cast("long").alias("n_pieces"), "best.ids",
+    ids = F.get("best.ids", F.lit(0))
+    return out.select("doc.doc_id", "doc.lang", "doc.source", F.size(ids).cast("long").alias("n_pieces"), ids.alias("ids"),
                       F.round(F.col("best.scores")[0], 6).alias("score"), F.round(F.get("best.scores", F.lit(1)), 6).alias("second_score"),
                       (F.col("best.decoded") == F.coalesce("doc.text", F.lit(""))).alias("round_trip"))
 
