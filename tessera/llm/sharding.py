@@ -10,13 +10,17 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import cut_lineage, join_small, read, running_offsets, text_of
 
 LAW = "rows"
+WORKER_BYTES = 32 << 20  # what a bucket may take of a task's Python worker
+COPIES = 8  # of a bucket that a worker may hold: as received, joined, permuted and sent, with room for uneven buckets
+BUCKET_BYTES = WORKER_BYTES // COPIES
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> list[int]:
@@ -29,10 +33,11 @@ def fisher_yates(n: int, rng: np.random.Generator) -> list[int]:
     return perm
 
 
-def external_shuffle(df: DataFrame, text: str, n_shards: int, seed: int = 17, bucket_bytes: int = 16 << 20) -> DataFrame:
+def external_shuffle(df: DataFrame, text: str, n_shards: int, seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Per row of ``df``: ``record`` (the row as a struct), ``shard`` int, ``slot`` long (gapless from 0).
 
-    ``text`` names the column that makes up a record's bytes. The number of buckets follows the bytes of the input. A
+    ``text`` names the column that makes up a record's bytes. The number of buckets follows the bytes of the input, so
+    that each holds about ``bucket_bytes`` (a record longer than that is in a bucket by itself or with others). A
     bucket's records are put in the order of their hashes first, so reruns agree however the rows arrive. Rows equal
     in every column share a hash; those that together exceed four buckets are scattered by their place in the input
     instead, so no bucket outgrows memory (they are interchangeable). Empty input: empty result. Nulls hash as any
@@ -56,15 +61,14 @@ def external_shuffle(df: DataFrame, text: str, n_shards: int, seed: int = 17, bu
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "h", salt), F.lit(n_buckets)))
     data = [f"c{i}" for i in range(len(names))]
 
-    def shuffle(bucket, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("h", kind="stable")
-        order = fisher_yates(len(pdf), np.random.Generator(np.random.PCG64([seed, int(bucket[0])])))
-        pdf = pdf.iloc[order][[*data, "bucket"]]
-        pdf["rank"] = np.arange(len(pdf))
-        return pdf
+    def shuffle(bucket: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        order = pc.sort_indices(rows["h"]).to_numpy()
+        perm = fisher_yates(len(order), np.random.Generator(np.random.PCG64([seed, bucket[0].as_py()])))
+        out = rows.select([*data, "bucket"]).take(pa.array(order[perm]))
+        return out.append_column("rank", pa.array(np.arange(len(order))))
 
     schema = rows.select(*data, "bucket").withColumn("rank", F.lit(0).cast("long")).schema
-    written = cut_lineage(rows.select(*data, "h", "bucket").groupBy("bucket").applyInPandas(shuffle, schema))
+    written = cut_lineage(rows.select(*data, "h", "bucket").groupBy("bucket").applyInArrow(shuffle, schema))
     counts = written.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     offsets = cut_lineage(running_offsets(counts, [], "bucket", "n", "base").select("bucket", "base"))
     position = F.col("base") + F.col("rank")
