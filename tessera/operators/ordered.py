@@ -1,24 +1,87 @@
-"""Order-dependent row operators that stay distributed.
-
-``lag`` over a *global* order (no partition key) makes Spark move every row
-into one partition. ``previous_in_order`` computes the same previous-row
-value with range partitioning instead: rows are range-partitioned on the
-order key, the lag is taken inside each range, and the first row of each
-range reads the last row of the preceding non-empty range from a per-range
-summary (one row per range, or per range and group). The windowed rows are
-written once to the reliable checkpoint folder so both uses agree on the
-(sampled, hence nondeterministic) range assignment.
+"""Order-dependent row operators that stay distributed, and write no copy of their input.
+
+A window over a *global* order (no partition key, or one hot key) makes Spark move all those rows into one task. The
+operators here cut the order into ranges instead. The range bounds are taken once, from a sample, as a literal array;
+a row's range is then a deterministic expression of its keys, so any stage may compute it again and get the same.
+Rows equal in all columns travel as one counted row, so a value that a third of the rows share takes no more room than
+any other.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.session import cut_lineage
+RANGE_ROWS = 1_000_000  # rows of a range, about
+MAX_RANGES = 20_000
+SAMPLES = 20  # sampled rows for each bound
+CELLS = 1 << 16  # cells of one refinement of a quantile
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the keys of ``left`` stay."""
+    other = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [left[k].eqNullSafe(other[f"_key_{k}"]) for k in keys]
+    return left.join(other, on, how).drop(*[f"_key_{k}" for k in keys])
+
+
+# --- ranges ----------------------------------------------------------------
+
+def _quoted(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def range_bounds(df: DataFrame, keys: Sequence[str], num_ranges: int | None = None) -> list[tuple]:
+    """Ascending rows of ``keys`` (as strings, NULLs last) that cut ``df`` into ranges of about RANGE_ROWS rows.
+
+    At most MAX_RANGES * SAMPLES sampled keys come to the driver. The bounds decide only how even the ranges are.
+    """
+    n = df.count()
+    num_ranges = num_ranges or min(MAX_RANGES, -(-n // RANGE_ROWS))
+    if num_ranges <= 1 or not n:
+        return []
+    share = min(1.0, SAMPLES * num_ranges / n)
+    sample = df.select(*keys) if share == 1.0 else df.select(*keys).where(F.rand(7) < share)
+    rows = sample.orderBy(*[F.col(k).asc_nulls_last() for k in keys]).select(*[F.col(k).cast("string") for k in keys]).collect()
+    picked = [tuple(rows[len(rows) * i // num_ranges]) for i in range(1, num_ranges)] if rows else []
+    return [b for i, b in enumerate(picked) if i == 0 or b != picked[i - 1]]
+
+
+def range_of(df: DataFrame, keys: Sequence[str], bounds: list[tuple]) -> Column:
+    """The number of a row's range: how many ``bounds`` its keys reach, by binary search over a literal array."""
+    if not bounds:
+        return F.lit(0)
+    kinds = [df.schema[k].dataType.simpleString() for k in keys]
+    arrays, fields = [], []
+    for i, kind in enumerate(kinds):
+        texts = [b[i] for b in bounds]
+        arrays += [f"array({', '.join('true' if t is None else 'false' for t in texts)})", f"CAST(array({', '.join(map(_quoted, texts))}) AS array<{kind}>)"]
+        fields += [f"n{i}:boolean", f"k{i}:{kind}"]
+    literal = F.expr(f"CAST(arrays_zip({', '.join(arrays)}) AS array<struct<{','.join(fields)}>>)")
+    parts = [c for i, k in enumerate(keys) for c in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))]
+    key = F.struct(*parts)
+
+    def halve(s: Column, _: Column) -> Column:
+        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
+        reached = F.get(literal, middle) <= s["key"]
+        low = F.when((s["low"] < s["high"]) & reached, middle + 1).otherwise(s["low"])
+        high = F.when((s["low"] < s["high"]) & ~reached, middle).otherwise(s["high"])
+        return F.struct(low.alias("low"), high.alias("high"), s["key"].alias("key"))
+
+    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"), key.alias("key"))
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return F.aggregate(steps, start, halve, lambda s: s["low"])
 
 
+def _nulls_last(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).asc_nulls_last() for k in keys]
+
+
+# --- previous row ----------------------------------------------------------
+
 def previous_in_order(
     df: DataFrame,
     value_col: str,
@@ -29,36 +92,48 @@ def previous_in_order(
 ) -> DataFrame:
     """Add ``out_col`` = value of ``value_col`` on the previous row in ``order_cols`` order (per group).
 
-    Equivalent to ``lag(value) over (partition by group order by order_cols)``,
-    but no partition ever has to hold a whole group. ``order_cols`` should be a
-    total order (ties among identical rows are harmless); NULLs sort last, and
-    rows with a NULL group column form a group.
+    Equivalent to ``lag(value) over (partition by group order by order_cols)``, but no task has to hold a whole group:
+    rows are sorted by range, and the first row of a range takes the last row of its group in an earlier range. Rows
+    that tie in ``order_cols`` come in the order of their other columns; NULLs sort last, and rows with a NULL group
+    column form a group. Equal rows are one counted row until the end. Columns must be groupable.
     """
     g = list(group_cols or [])
-    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c).asc_nulls_last() for c in order_cols]
-    ranged = df.repartitionByRange(n, *g, *order).withColumn("_rng", F.spark_partition_id())
-    inner_w = W.partitionBy("_rng", *g).orderBy(*order)
-    whole = inner_w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    # One window pass: in-range lag, position, and range size (to find each range's last row).
-    # The range id is nondeterministic (sampled bounds), and the rows feed two branches below,
-    # so the windowed rows are materialized once to the reliable checkpoint folder.
-    local = cut_lineage(ranged.select(
-        "*", F.lag(value_col).over(inner_w).alias(out_col), F.row_number().over(inner_w).alias("_pos"),
-        F.count(F.lit(1)).over(whole).alias("_cnt")))
-    # last row of every (range, group) — a filter, no aggregation — and the previous range's last value
-    last = local.where(F.col("_pos") == F.col("_cnt")).select("_rng", *g, F.col(value_col).alias("_last"))
-    carry = last.select("_rng", *g, F.lag("_last").over(W.partitionBy(*g).orderBy("_rng")).alias("_carry"))
-    joined = _null_safe_join(local, carry, ["_rng", *g], "left")
-    out = joined.withColumn(out_col, F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col(out_col)))
-    return out.drop("_rng", "_pos", "_cnt", "_carry")
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Join on ``keys`` with NULL equal to NULL; the keys of ``left`` stay."""
-    other = right.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    on = [left[k].eqNullSafe(other[f"_key_{k}"]) for k in keys]
-    return left.join(other, on, how).drop(*[f"_key_{k}" for k in keys])
+    keys = list(dict.fromkeys([*g, *order_cols, value_col, *df.columns]))
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counted.withColumn("_rng", range_of(df, keys, range_bounds(df, keys, num_ranges)))
+    inside = W.partitionBy("_rng", *g).orderBy(*_nulls_last([k for k in keys if k not in g]))
+    rows = ranged.select("*", F.lag(value_col).over(inside).alias("_before"), F.row_number().over(inside).alias("_pos"),
+                         F.lead(F.lit(True)).over(inside).alias("_more"))
+    last = rows.where(F.col("_more").isNull()).select("_rng", *g, F.col(value_col).alias("_last"))
+    ahead = W.partitionBy(*g).orderBy("_rng")
+    # groups lie side by side in the ranges, so at most one goes on from a range into the next: a row for each bound
+    carry = last.select("_rng", *g, F.lag("_last").over(ahead).alias("_carry"), F.lag("_rng").over(ahead).alias("_from"))
+    carry = F.broadcast(carry.where(F.col("_from").isNotNull()).drop("_from"))
+    joined = _null_safe_join(rows, carry, ["_rng", *g], "left")
+    before = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_before"))
+    copies = joined.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    return copies.select(*df.columns, F.when(F.col("_copy") > 1, F.col(value_col)).otherwise(before).alias(out_col))
+
+
+# --- exact quantile --------------------------------------------------------
+
+def _cell_by_size(v: Column) -> Column:
+    """A cell of a double by its sign and sixteenths of its binary logarithm; larger values have no smaller cells."""
+    log = F.floor(F.log2(F.abs(v)) * 16) + 20_000
+    return (F.when(F.isnan(v), 99_999).when(v == float("inf"), 99_998).when(v == float("-inf"), -99_998)
+            .when(v == 0, 0).when(v > 0, log).otherwise(-log)).cast("int")
+
+
+def _cell_between(v: Column, low: Column, high: Column) -> Column:
+    return F.when(low == high, 0).otherwise(F.floor((v - low) / (high - low) * (CELLS - 1))).cast("int")
+
+
+def _holding(rows: DataFrame, keys: list[str], rank: str) -> DataFrame:
+    """Of each key the cell that holds the row at ``rank`` (from 0), with the rank inside it and its extreme values."""
+    cells = rows.groupBy(*keys, rank, "_w", "_cell").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    through = F.sum("_c").over(W.partitionBy(*keys).orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow))
+    found = cells.withColumn("_through", through).where((F.col("_through") > F.col(rank)) & (F.col("_through") - F.col("_c") <= F.col(rank)))
+    return found.select(*keys, "_w", "_cell", (F.col(rank) - F.col("_through") + F.col("_c")).alias("_rank"), "_low", "_high")
 
 
 def group_quantile(
@@ -67,55 +142,60 @@ def group_quantile(
     quantile: float,
     group_cols: list[str] | None = None,
     out_col: str = "quantile",
-    num_ranges: int | None = None,
 ) -> DataFrame:
     """Exact ``percentile_cont(quantile)`` of ``value_col`` per group, without holding a group in one task.
 
-    Rows are range-partitioned on (group, value); each range numbers its rows
-    per group; per-group offsets are prefix sums over the (range, group)
-    counts (one row per range and group); the two rows bracketing position
-    ``quantile·(n−1)`` are picked by global rank and linearly interpolated —
-    the same definition as ``percentile_cont`` / Spark's ``percentile``.
-    NULL values are ignored; a group with no values is absent from the output.
+    Selection by refining histograms: equal values become one counted row (combined before the shuffle), the counts per
+    cell of a coarse scale show which cell holds each of the two ranks around ``quantile * (n - 1)``, and that cell is
+    cut again, twice into CELLS cells between its least and greatest value. A cell of the first scale spans a sixteenth
+    of a power of two, 2**48 doubles; so after the cuts at most about 2**16 distinct values are left to be sorted for
+    a rank, whatever the input. The two values are interpolated as ``percentile_cont`` does. NULL values are ignored, a
+    group with no values is absent, and rows with a NULL group column form a group. NaN is greater than any number.
     """
     if not 0.0 <= quantile <= 1.0:
         raise ValueError("quantile must be in [0, 1]")
     g = list(group_cols or [])
-    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranged = src.repartitionByRange(n, *g, "_v").withColumn("_rng", F.spark_partition_id())
-    w = W.partitionBy("_rng", *g).orderBy("_v")
-    # materialized once: the sampled range assignment must agree between the two uses below
-    local = cut_lineage(ranged.select(*g, "_v", "_rng", F.row_number().over(w).alias("_i")))
-    counts = local.groupBy("_rng", *g).agg(F.max("_i").alias("_c"))
-    per_group = W.partitionBy(*g)
-    offsets = counts.select(
-        "_rng", *g,
-        F.coalesce(F.sum("_c").over(per_group.orderBy("_rng").rowsBetween(W.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_off"),
-        F.sum("_c").over(per_group).alias("_n"))
-    pos = F.lit(float(quantile)) * (F.col("_n") - 1).cast("double")
-    offsets = offsets.select("*", F.floor(pos).cast("long").alias("_lo"), F.ceil(pos).cast("long").alias("_hi"),
-                             pos.alias("_pos"))
-    picked = _null_safe_join(local, offsets, ["_rng", *g], "inner").withColumn("_rank", F.col("_off") + F.col("_i") - 1).where(
-        (F.col("_rank") == F.col("_lo")) | (F.col("_rank") == F.col("_hi")))
-    agg = picked.groupBy(*g).agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
-    return agg.select(*g, val.alias(out_col))
-
-
-def running_total(df: DataFrame, value_col: str, partition_cols: list[str], order_col: str, descending: bool = False,
-                  out_col: str = "running_total") -> DataFrame:
-    """WIN-14: running sum per partition with SQL's default frame (RANGE … CURRENT ROW, so ties share a total).
-
-    Requires partition columns: a running total over a whole table would need one ordered stream.
+    values = df.select(*g, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    counted = values.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")).withColumn("_cell", _cell_by_size(F.col("_v")))
+    cells = counted.groupBy(*g, "_cell").agg(F.sum("_c").alias("_c"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    group = W.partitionBy(*g)
+    place = F.lit(float(quantile)) * (F.sum("_c").over(group) - 1).cast("double")
+    cells = cells.select("*", F.sum("_c").over(group.orderBy("_cell").rowsBetween(W.unboundedPreceding, W.currentRow)).alias("_through"), place.alias("_place"))
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.floor("_place").alias("rank")), F.struct(F.lit(1).alias("side"), F.ceil("_place").alias("rank")))
+    found = cells.select("*", F.explode(sides).alias("s")).where((F.col("_through") > F.col("s.rank")) & (F.col("_through") - F.col("_c") <= F.col("s.rank")))
+    weight = F.when(F.col("s.side") == 0, F.lit(1.0) - (F.col("_place") - F.floor("_place"))).otherwise(F.col("_place") - F.floor("_place"))
+    found = found.select(*g, F.col("s.side").alias("_side"), weight.alias("_w"), "_cell", (F.col("s.rank") - F.col("_through") + F.col("_c")).alias("_rank"), "_low", "_high")
+    keys = [*g, "_side"]
+    rows = _null_safe_join(counted, found, [*g, "_cell"], "inner").withColumn("_cell", _cell_between(F.col("_v"), F.col("_low"), F.col("_high")))
+    for _ in range(2):
+        found = _holding(rows, keys, "_rank")
+        rows = _null_safe_join(rows.drop("_rank", "_w", "_low", "_high"), found, [*keys, "_cell"], "inner")
+        rows = rows.withColumn("_cell", _cell_between(F.col("_v"), F.col("_low"), F.col("_high")))
+    through = F.sum("_c").over(W.partitionBy(*keys).orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow))
+    picked = rows.withColumn("_through", through).where((F.col("_through") > F.col("_rank")) & (F.col("_through") - F.col("_c") <= F.col("_rank")))
+    return picked.groupBy(*g).agg(F.sum(F.when(F.col("_w") > 0, F.col("_v") * F.col("_w")).otherwise(0.0)).alias(out_col))
+
+
+# --- running total ---------------------------------------------------------
+
+def running_total(df: DataFrame, value_col: str, partition_cols: Sequence[str], order_col: str, descending: bool = False,
+                  out_col: str = "running_total", num_ranges: int | None = None) -> DataFrame:
+    """WIN-14: running sum with SQL's default frame (RANGE … CURRENT ROW, so ties share a total), per partition or, with
+    no ``partition_cols``, over the whole table.
+
+    Two levels of prefix sums: rows that tie become one row with their sum, sums per range of the order are added up
+    (one row for each range and partition), and inside a range a window adds the rest. NULL order keys come last
+    (first, if descending), NULL values add nothing, and a total over NULLs only is NULL.
     """
-    if not partition_cols:
-        raise ValueError("running_total needs partition columns")
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    w = W.partitionBy(*partition_cols).orderBy(order).rangeBetween(W.unboundedPreceding, W.currentRow)
-    return df.withColumn(out_col, F.sum(value_col).over(w))
+    p = list(partition_cols)
+    keys = [*p, order_col]
+    ties = df.groupBy(*keys).agg(F.sum(value_col).alias("_sum"))
+    ranged = ties.withColumn("_rng", range_of(df, keys, range_bounds(df, keys, num_ranges)))
+    turn = (lambda c: F.col(c).desc_nulls_first()) if descending else (lambda c: F.col(c).asc_nulls_last())
+    sums = ranged.groupBy(*p, "_rng").agg(F.sum("_sum").alias("_all"))
+    ahead = W.partitionBy(*p).orderBy(F.col("_rng").desc() if descending else F.col("_rng").asc()).rowsBetween(W.unboundedPreceding, -1)
+    base = sums.select(*p, "_rng", F.sum("_all").over(ahead).alias("_base"))
+    inside = F.sum("_sum").over(W.partitionBy(*p, "_rng").orderBy(turn(order_col)).rowsBetween(W.unboundedPreceding, W.currentRow))
+    totals = _null_safe_join(ranged.withColumn("_inside", inside), base, [*p, "_rng"], "left")
+    total = F.when(F.col("_base").isNull(), F.col("_inside")).otherwise(F.col("_base") + F.coalesce("_inside", F.lit(0)))
+    return _null_safe_join(df, totals.select(*keys, total.alias(out_col)), keys, "left")
