@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import expectations as X
 from tessera.operators import profile as PR
-from tessera.operators.suite import Check, run_suite
+from tessera.operators.suite import Check, Declared, run_declared, run_suite
 from tessera.plans import dag as P
 from tessera.plans.catalog import register
 from tessera.plans.present import present
@@ -171,22 +171,8 @@ _MODEL_CHECKS = [
     ("unique", "fact_tract_hourly", ("tract", "floored_timestamp"), None),
 ]
 
-_WARN_ONLY = {("relationships", "stg_hourly"), ("relationships", "int_hourly"), ("relationships", "prevailing_wind")}
-
-
-def _check_name(kind, col, extra) -> str:
-    cols = ",".join(col) if isinstance(col, tuple) else col
-    if kind == "relationships":
-        return f"relationships({cols}→{extra[0]})"
-    if kind == "between":
-        lo, hi = extra
-        return f"between({cols},{lo},{'' if hi is None else hi})"
-    return f"{kind}({cols})"
-
-
-def _severity(kind, model) -> str:
-    # observations may name stations without metadata (the bindings leave some users without a supplier)
-    return "warn" if (kind, model) in _WARN_ONLY else "error"
+def _declared() -> list[Declared]:
+    return [Declared(kind, model, col if isinstance(col, tuple) else (col,), extra) for kind, model, col, extra in _MODEL_CHECKS]
 
 
 _SQL_MODELS = {"stg_hourly": "stg_hourly", "stg_station": "stg_station", "stg_tracts": "stg_tracts", "stg_acs": "stg_acs",
@@ -224,20 +210,17 @@ def _suite_sql() -> str:
     from tessera.plans import oracle as O
 
     parts = []
-    for kind, model, col, extra in _MODEL_CHECKS:
-        sev = _severity(kind, model)
-        st = f"CASE WHEN n <> 0 THEN '{'warn' if sev == 'warn' else 'error'}' ELSE 'pass' END"
-        parts.append(f"SELECT '{_check_name(kind, col, extra)}' AS \"check\", '{model}' AS model, n AS failures, {st} AS status "
+    for c, (kind, model, col, extra) in zip(_declared(), _MODEL_CHECKS, strict=True):
+        parts.append(f"SELECT '{c.label}' AS \"check\", '{model}' AS model, n AS failures, CASE WHEN n <> 0 THEN 'error' ELSE 'pass' END AS status "
                      f"FROM (SELECT ({_count_sql(kind, model, col, extra)}) AS n)")
     return O.with_(O.FACT, " UNION ALL ".join(parts))
 
 
 @register("model_suite", _suite_sql())
 def q_model_suite(spark, sf_dir):
-    """EXP-67/68: every check declared on the pipeline's models, as one report.
+    """EXP-67/68: every check declared on the pipeline's models, as one report, with the declared severities.
 
-    The heavy models are materialized once so each check reads them instead of
-    recomputing the pipeline.
+    The four computed models are written once; each model is then read at most twice (``run_declared``).
     """
     from tessera.operators import relations as R
     from tessera.session import cut_lineage
@@ -253,24 +236,70 @@ def q_model_suite(spark, sf_dir):
     pw = cut_lineage(R.prevailing_wind(h))
     w = cut_lineage(R.station_weights(models["dim_station"], models["dim_tract"], pw))
     models.update({
-        "int_hourly": h, "prevailing_wind": pw,
-        "rel_tract_station_distance": R.tract_station_distance(models["dim_station"], models["dim_tract"]),
-        "rel_station_weights": w, "fact_tract_hourly": P.fact_tract_hourly(spark, sf_dir, h, w),
+        "int_hourly": h, "prevailing_wind": pw, "rel_station_weights": w,
+        "rel_tract_station_distance": cut_lineage(R.tract_station_distance(models["dim_station"], models["dim_tract"])),
+        "fact_tract_hourly": cut_lineage(P.fact_tract_hourly(spark, sf_dir, h, w)),
     })
-
-    def run(kind, model, col, extra):
-        df = models[model]
-        if kind == "not_null":
-            return X.not_null(df, col)
-        if kind == "unique":
-            return X.compound_columns_to_be_unique(df, list(col), "any_value_is_missing") if isinstance(col, tuple) \
-                else X.unique(df, col)
-        if kind == "relationships":
-            return X.relationships(df, col, models[extra[0]], extra[1])
-        if kind == "accepted_values":
-            return X.accepted_values(df, col, list(extra))
-        return X.column_values_to_be_between(df, col, extra[0], extra[1])
-
-    checks = [Check(_check_name(k, c, e), m, (lambda k=k, m=m, c=c, e=e: run(k, m, c, e)), severity=_severity(k, m))
-              for k, m, c, e in _MODEL_CHECKS]
-    return run_suite(checks)
+    return run_declared(_declared(), models)
+
+
+# Row and key checks whose failures a threshold or a fail_calc turns into a verdict, on the driver tables.
+_THRESHOLDS = [
+    Declared("expression", "lineitem", (), "l_discount < 0.09", error_if=">1000000", warn_if=">100", name="some discounts"),
+    Declared("expression", "lineitem", (), "l_discount < 0.09", error_if=">100", name="too many discounts"),
+    Declared("expression", "lineitem", (), "l_discount < 0.09", severity="warn", error_if=">100", name="many discounts, tolerated"),
+    Declared("unique", "lineitem", ("l_orderkey", "l_linenumber"), None, name="line key"),
+    Declared("unique", "lineitem", ("l_orderkey",), None, severity="warn", name="order key of lines"),
+    Declared("relationships", "orders", ("o_custkey",), ("customer", "c_custkey"), name="customer of an order"),
+    Declared("relationships", "customer", ("c_custkey",), ("orders", "o_custkey"), warn_if="<0", error_if=">= 1", name="customers without orders"),
+    Declared("accepted_values", "orders", ("o_orderstatus",), ("F", "O"), warn_if="!=0", error_if="<0", name="order states"),
+    Declared("between", "orders", ("o_totalprice",), (None, 400000), warn_if="> 0", error_if=">2", name="prices"),
+]
+_COUNTS = {
+    "some discounts": "SELECT count(*) FROM lineitem WHERE NOT (l_discount < 0.09)",
+    "line key": "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)",
+    "order key of lines": "SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1)",
+    "customer of an order": "SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)",
+    "customers without orders": "SELECT count(*) FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "order states": "SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O')",
+    "prices": "SELECT count(*) FROM orders WHERE o_totalprice > 400000",
+}
+_COUNTS |= dict.fromkeys(("too many discounts", "many discounts, tolerated"), _COUNTS["some discounts"])
+
+
+def _threshold_sql() -> str:
+    def verdict(c):
+        op = lambda t: f"n {t.replace('!=', '<>')}"
+        err = f"WHEN {op(c.error_if)} THEN 'error' " if c.severity == "error" else ""
+        return f"CASE {err}WHEN {op(c.warn_if)} THEN 'warn' ELSE 'pass' END"
+
+    return " UNION ALL ".join(f"SELECT '{c.name}' AS \"check\", '{c.model}' AS model, n AS failures, {verdict(c)} AS status FROM (SELECT ({_COUNTS[c.name]}) AS n)"
+                              for c in _THRESHOLDS)
+
+
+@register("suite_thresholds", _threshold_sql())
+def q_suite_thresholds(spark, sf_dir):
+    """EXP-68: warn and error thresholds over fused checks, NULL keys and parents included."""
+    return run_declared(_THRESHOLDS, {t: read_table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer")})
+
+
+_FLIPPED = "cast((count(*)=0) as int)"
+
+
+@register("suite_fail_calc",
+          "SELECT 'flipped, fails' AS \"check\", 'lineitem' AS model, CAST(count(*) = 0 AS BIGINT) AS failures, CASE WHEN count(*) = 0 THEN 'error' ELSE 'pass' END AS status "
+          "FROM lineitem WHERE l_quantity > 49 "
+          "UNION ALL SELECT 'flipped, holds', 'lineitem', CAST(count(*) = 0 AS BIGINT), CASE WHEN count(*) = 0 THEN 'error' ELSE 'pass' END FROM lineitem WHERE l_quantity < 0 "
+          "UNION ALL SELECT 'largest excess', 'lineitem', CAST(max(expression) AS BIGINT), CASE WHEN max(expression) > 1000 THEN 'error' WHEN max(expression) <> 0 THEN 'warn' ELSE 'pass' END "
+          "FROM (SELECT l_returnflag, count(*) AS expression FROM lineitem GROUP BY 1) WHERE expression > 100 "
+          "UNION ALL SELECT 'no failing row', 'orders', 0, 'pass'")
+def q_suite_fail_calc(spark, sf_dir):
+    """EXP-68: ``fail_calc``, among others the flipped count of checks that are expected to fail."""
+    li, orders = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
+    per_flag = li.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("expression"))
+    return run_suite([
+        Check("flipped, fails", "lineitem", lambda: li.where("l_quantity > 49"), fail_calc=_FLIPPED),
+        Check("flipped, holds", "lineitem", lambda: li.where("l_quantity < 0"), fail_calc=_FLIPPED),
+        Check("largest excess", "lineitem", lambda: per_flag.where("expression > 100"), error_if="> 1000", fail_calc="max(expression)"),
+        Check("no failing row", "orders", lambda: orders.where("o_orderkey < 0"), fail_calc="max(o_orderkey)"),
+    ])
