@@ -191,9 +191,10 @@ STATE_SCHEMA = T.StructType([
 
 
 def state_latest(state_log: DataFrame) -> DataFrame:
-    """SNK-07: last-write-wins view of an append-only (dataset, key, value, updated_at) log."""
+    """SNK-07: last-write-wins view of an append-only (dataset, key, value, updated_at) log; of entries that were noted
+    at one time the greatest value counts."""
     return state_log.groupBy("dataset", "key").agg(
-        F.max_by("value", "updated_at").alias("value"), F.max("updated_at").alias("updated_at"))
+        F.max_by("value", F.struct("updated_at", "value")).alias("value"), F.max("updated_at").alias("updated_at"))
 
 
 # --------------------------------------------------------------------------- payload parsing
