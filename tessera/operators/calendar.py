@@ -182,7 +182,7 @@ def bounds_of(df: DataFrame, col: str) -> DataFrame:
 
 
 def dim_hour(spark: SparkSession, today, n_days: int = 28) -> DataFrame:
-    """DAT-33: the hours of the last ``n_days`` days (24·n rows) up to ``today`` exclusive of tomorrow."""
+    """DAT-33: the hours of the ``n_days`` days before ``today`` and of ``today`` itself."""
     return get_base_dates(spark, n_dateparts=24 * n_days, datepart="hour", today=today)
 
 

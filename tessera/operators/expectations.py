@@ -15,6 +15,7 @@ compound uniqueness skips rows per ``ignore_row_if``.
 from __future__ import annotations
 
 import datetime as _dt
+import warnings
 from collections.abc import Sequence
 from functools import reduce
 
@@ -394,7 +395,7 @@ def _regex(pattern: str, is_raw: bool = False, flags: str = "") -> str:
 
 
 def inline_flags(flags: str) -> str:
-    """FUN-05: the Java inline options for ``flags``; an unknown flag raises.
+    """FUN-05: the Java inline options for ``flags``; an unknown flag is left out with a warning.
 
     i, m, s, u, x and d are Java's own. c matches case and p keeps the dot off line ends, both Java's defaults: of c
     and i, and of p and s, the last given counts. e (submatch) and U (ungreedy) never change whether a text matches.
@@ -402,8 +403,8 @@ def inline_flags(flags: str) -> str:
     out = ""
     for ch in flags or "":
         if ch not in "imsuxdUcep":
-            raise ValueError(f"unsupported regex flags {ch!r}")
-        if ch in "cp":
+            warnings.warn(f"regex flag {ch!r} is not known and left out", stacklevel=2)
+        elif ch in "cp":
             out = out.replace("i" if ch == "c" else "s", "")
         elif ch not in "eU" and ch not in out:
             out += ch

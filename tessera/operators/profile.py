@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tessera.operators.ordered import previous_in_order
+from tessera.sources.normalize import any_populated
 
 
 def daily_populated_rows(df: DataFrame, ts: Column, fields: Sequence[str]) -> DataFrame:
     """AGG-17: per date, the number of rows with any populated field."""
-    has = F.exists(F.array(*[F.coalesce(F.col(f), F.lit("")) for f in fields]), lambda x: x != F.lit(""))
-    return df.groupBy(ts.cast("date").alias("date")).agg(F.count_if(has).alias("daily_rows_with_values"))
+    return df.groupBy(ts.cast("date").alias("date")).agg(F.count_if(any_populated(fields)).alias("daily_rows_with_values"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

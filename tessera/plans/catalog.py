@@ -26,6 +26,6 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # importing the modules registers their queries
-    from tessera.plans import q_calendar, q_expect, q_features, q_normalize, q_ordered, q_profile, q_sources  # noqa: F401
+    from tessera.plans import q_calendar, q_expect, q_features, q_helpers, q_normalize, q_ordered, q_profile, q_sources  # noqa: F401
 
     return REGISTRY
