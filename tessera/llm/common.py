@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import cut_lineage, ensure_checkpoint_dir
 
-__all__ = ["WORD", "SPACES", "UPPER", "LOWER", "ascii_lower", "read", "text_of", "join_small", "running_offsets",
+__all__ = ["WORD", "SPACES", "UPPER", "LOWER", "ascii_lower", "in_slices", "read", "text_of", "join_small", "running_offsets",
            "cut_lineage", "ensure_checkpoint_dir"]
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,6 +18,13 @@ SPACES = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def in_slices(column: pa.Array, rows: int = 256) -> Iterator[list]:
+    """The values of an Arrow column as Python objects, few at a time: a whole batch of texts as strings takes several
+    times its size, and a worker that once held it does not give all of that back."""
+    for i in range(0, len(column), rows):
+        yield column.slice(i, rows).to_pylist()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

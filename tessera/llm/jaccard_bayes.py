@@ -17,11 +17,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage, join_small, read, text_of
+from tessera.llm.common import cut_lineage, in_slices, join_small, read, text_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -47,7 +48,7 @@ class Shingler:
 
     def words(self, text: str) -> np.ndarray:
         memory = self.memory
-        if len(memory) > 400_000:
+        if len(memory) > 100_000:
             memory.clear()
         out = []
         for w in _WORD.findall(text):
@@ -180,27 +181,29 @@ def row_hashes(docs: DataFrame) -> list:
 def _nodes_of(docs: DataFrame) -> DataFrame:
     """A written row per document: doc_id (text), h and h2 (hashes of the row), node (digest of its set; null without
     a word), sig."""
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for pdf in batches:
-            sets = [shingler.shingles(t) for t in pdf.pop("text")]
-            yield pdf.assign(node=[hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets],
-                             sig=[signature(s).tobytes() if len(s) else None for s in sets])
+        for batch in batches:
+            sets = (shingler.shingles(t) for texts in in_slices(batch.column("text")) for t in texts)
+            found = [(hashlib.md5(s.tobytes()).digest(), signature(s).tobytes()) if len(s) else (None, None) for s in sets]
+            kept = [batch.column(c) for c in ("doc_id", "h", "h2")]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array([f[k] for f in found], pa.binary()) for k in (0, 1))], names=["doc_id", "h", "h2", "node", "sig"])
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), *row_hashes(docs), text_of().alias("text"))
-    return cut_lineage(rows.mapInPandas(measure, "doc_id string, h long, h2 long, node binary, sig binary"))
+    return cut_lineage(rows.mapInArrow(measure, "doc_id string, h long, h2 long, node binary, sig binary"))
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, shingles) for the wanted (node, h, h2): the sets of one document of each."""
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
-        for pdf in batches:
-            yield pd.DataFrame({"node": pdf["node"], "shingles": [shingler.shingles(t).tobytes() for t in pdf["text"]]})
+        for batch in batches:
+            found = [shingler.shingles(t).tobytes() for texts in in_slices(batch.column("text")) for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "shingles"])
 
     rows = docs.select(*row_hashes(docs), text_of().alias("text"))
     wanted = join_small(rows, nodes.select("node", "h", "h2"), ["h", "h2"], max_rows=300_000)
-    return wanted.select("node", "text").mapInPandas(sets, "node binary, shingles binary").dropDuplicates(["node"])
+    return wanted.select("node", "text").mapInArrow(sets, "node binary, shingles binary").dropDuplicates(["node"])
 
 
 def _blocks(members: DataFrame, keys: list[str], size: str) -> DataFrame:

@@ -17,10 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage, join_small, read
+from tessera.llm.common import cut_lineage, in_slices, join_small, read
 
 H = 0.5  # share of a group's distinct vectors that its estimate rests on; it breaks down when more than 1 - H are off
 STEPS = 5
@@ -71,9 +72,10 @@ def text_counts(text: str | None) -> tuple[int, ...]:
             sum(map(str.isupper, text)) if not text.islower() else 0, len(_PUNCT.findall(text)), len(lines))
 
 
-def _counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        yield pd.DataFrame([text_counts(t) for t in texts], columns=COUNTS)
+def _counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for column in batches:
+        rows = [text_counts(t) for texts in in_slices(column) for t in texts]
+        yield pa.StructArray.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(len(COUNTS))], list(COUNTS))
 
 
 def features(c) -> dict[str, Column]:
@@ -226,7 +228,7 @@ def judge(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 def measured(docs: DataFrame) -> DataFrame:
     """``doc`` (the row as a struct), lang, source and the counts of BASE per row of ``docs``."""
-    counts = F.pandas_udf(_counts, BASE)
+    counts = F.arrow_udf(_counts, BASE)
     rows = docs.select(F.struct("*").alias("doc"), counts(F.col("text")).alias("c"))
     return rows.select("doc", F.col("doc.lang").cast("string").alias("lang"), F.col("doc.source").cast("string").alias("source"), "c.*")
 

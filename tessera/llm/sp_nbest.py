@@ -19,10 +19,11 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import read, text_of
+from tessera.llm.common import in_slices, read, text_of
 
 Edge = tuple[int, tuple[int, ...], float]  # start, piece ids, score
 
@@ -363,21 +364,25 @@ def segmentations(docs: DataFrame, n: int = 4, model: str | None = None) -> Data
 
     Null text is read as empty; an empty text has no pieces and one segmentation of score 0. Equal scores come in the
     search's order, which is fixed. Texts of any length are segmented whole; long runs of one letter, where very many
-    segmentations tie, take time in proportion to their length. Empty input: empty result. ``model`` is a SentencePiece model file that the driver
-    reads; tasks get its bytes.
+    segmentations tie, take time in proportion to their length. Empty input: empty result. ``model`` is a
+    SentencePiece model file that the driver reads; tasks get its bytes.
     """
     with open(model or default_model(), "rb") as f:
         proto = f.read()
 
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = loaded(proto)
-        for texts in batches:
-            for block in _blocks(texts):
-                rows = [([ids for _, ids in found], [score for score, _ in found], pieces.decode(found[0][1].tolist()))
-                        for found in pieces.encode_all(block, n)]
-                yield pd.DataFrame(rows, columns=["ids", "scores", "decoded"])
-
-    return docs.select(F.struct("*").alias("doc"), F.pandas_udf(encode, SCHEMA)(text_of()).alias("best"))
+        for column in batches:
+            parts = []
+            for block in _blocks(chain.from_iterable(in_slices(column))):
+                found = pieces.encode_all(block, n)
+                parts.append(pa.StructArray.from_arrays([
+                    pa.array([[ids for _, ids in f] for f in found], pa.list_(pa.list_(pa.int32()))),
+                    pa.array([[score for score, _ in f] for f in found], pa.list_(pa.float64())),
+                    pa.array([pieces.decode(f[0][1].tolist()) for f in found], pa.string())], ["ids", "scores", "decoded"]))
+            yield pa.concat_arrays(parts)  # a batch has rows
+
+    return docs.select(F.struct("*").alias("doc"), F.arrow_udf(encode, SCHEMA)(text_of()).alias("best"))
 
 
 def op5_nbest_pieces(spark, sf_dir):
