@@ -10,11 +10,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, SPACES, UPPER, ascii_lower, text_of
+from tessera.llm.common import LOWER, SPACES, UPPER, ascii_lower, in_slices, text_of
 
 _TO_LOWER = str.maketrans(UPPER, LOWER)
 
@@ -40,13 +40,16 @@ def _reassembler(min_chars: int):
                 kept.append(line)
         return len(lines), len(lines) - len(kept), "\n".join(kept)
 
-    @F.pandas_udf("n_lines long, n_dropped long, text string")
-    def reassemble(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def reassemble(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, drops in batches:
-            yield pd.DataFrame([keep(t, d) for t, d in zip(texts, drops, strict=True)],
-                               columns=["n_lines", "n_dropped", "text"])
-
-    return reassemble
+            parts = []
+            for some, gone in zip(in_slices(texts), in_slices(drops), strict=True):
+                rows = [keep(t, d) for t, d in zip(some, gone, strict=True)]
+                parts.append(pa.StructArray.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                                                         pa.array([r[2] for r in rows], pa.string())], ["n_lines", "n_dropped", "text"]))
+            yield pa.concat_arrays(parts)
+
+    return F.arrow_udf(reassemble, "n_lines long, n_dropped long, text string")
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
