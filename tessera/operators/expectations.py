@@ -73,7 +73,7 @@ def expression_is_true(df: DataFrame, expression, group_by: Sequence[str] | None
 
 def between_predicate(expression, min_value=None, max_value=None, strictly: bool = False) -> Column:
     if min_value is None and max_value is None:
-        raise ValueError("You have to provide either a min_value, max_value or both.")
+        raise ValueError("no bound given: set min_value, max_value or both")
     e = _e(expression)
     parts = [F.lit(True)]
     if min_value is not None:
@@ -135,9 +135,7 @@ def equal_expression(df: DataFrame, expression, compare_df: DataFrame | None = N
 def ignore_row_if_expression(ignore_row_if: str, columns: Sequence[str]) -> Column:
     """FLT-05: keep-row predicate for multi-column checks."""
     if ignore_row_if not in ("all_values_are_missing", "any_value_is_missing"):
-        raise ValueError(
-            f"`ignore_row_if` must be one of all_values_are_missing, any_value_is_missing. Got: '{ignore_row_if}'."
-        )
+        raise ValueError(f"ignore_row_if is all_values_are_missing or any_value_is_missing, not {ignore_row_if!r}")
     nulls = [F.col(c).isNull() for c in columns]
     return ~(_and(nulls) if ignore_row_if == "all_values_are_missing" else _or(nulls))
 
@@ -486,7 +484,7 @@ def table_column_count_to_equal(df, value):
 
 def table_column_count_to_be_between(df, min_value=None, max_value=None):
     if min_value is None and max_value is None:
-        raise ValueError("You have to provide either a min_value, max_value or both.")
+        raise ValueError("no bound given: set min_value, max_value or both")
     n = len(df.columns)
     ok = (not min_value or n >= min_value) and (not max_value or n <= max_value)
     return _schema_rows(df, [] if ok else [(n, min_value or 0, max_value or 0)],
@@ -598,7 +596,7 @@ def grouped_row_values_to_have_recent_data(df, group_by, timestamp_column, datep
 def compound_columns_to_be_unique(df, column_list, ignore_row_if="all_values_are_missing", row_condition=None):
     """EXP-57: key combinations occurring more than once (map-side partial counts)."""
     if not column_list:
-        raise ValueError("`column_list` must be specified as a list of columns.")
+        raise ValueError("column_list is not a list of column names")
     src = _filter(df, row_condition).where(ignore_row_if_expression(ignore_row_if, column_list))
     return src.groupBy(*column_list).agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1)
 
@@ -634,7 +632,7 @@ def column_pair_values_to_be_equal(df, column_A, column_B, row_condition=None):
 def column_pair_values_to_be_in_set(df, column_A, column_B, value_pairs_set, row_condition=None):
     for p in value_pairs_set:
         if len(p) != 2:
-            raise ValueError(f"`value_pairs_set` cannot have more than 2 items per element. Got: '{p}'.")
+            raise ValueError(f"not a pair of values: {p!r}")
     pred = _or([(F.col(column_A) == F.lit(a)) & (F.col(column_B) == F.lit(b)) for a, b in value_pairs_set])
     return expression_is_true(df, pred, None, row_condition)
 

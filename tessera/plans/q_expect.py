@@ -46,23 +46,25 @@ def s_between(src, expr, mn=None, mx=None, group_by=None, where=None, strictly=F
 
 def s_equal(a_src, a_expr, b_src, b_expr, group_by=None, b_group_by=None, where=None, b_where=None,
             tolerance=0.0, tolerance_percent=None):
-    b_group_by = b_group_by or group_by
-    def side(src, expr, gb, w):
-        sel = [f"{g} AS col_{i}" for i, g in enumerate(gb or [], 1)] + [f"{expr} AS expression"]
-        ww = f" WHERE {w}" if w else ""
-        g = (" GROUP BY " + ", ".join(str(i) for i in range(1, len(gb) + 1))) if gb else ""
-        return f"SELECT {', '.join(sel)} FROM {src}{ww}{g}"
-    n = len(group_by or [])
-    keys = "".join(f"coalesce(a.col_{i}, b.col_{i}) AS col_{i}, " for i in range(1, n + 1))
-    join = ("a FULL OUTER JOIN b ON " + " AND ".join(f"a.col_{i} = b.col_{i}" for i in range(1, n + 1))) if n else "a CROSS JOIN b"
-    filt = (f"expression_difference_percent > {tolerance_percent}" if tolerance_percent
-            else f"expression_difference > {tolerance}")
-    return (f"WITH a AS ({side(a_src, a_expr, group_by, where)}), b AS ({side(b_src, b_expr, b_group_by, b_where)}), "
-            f"final AS (SELECT {keys}a.expression, b.expression AS compare_expression, "
-            f"abs(coalesce(a.expression, 0) - coalesce(b.expression, 0)) AS expression_difference, "
-            f"CAST(abs(coalesce(a.expression, 0) - coalesce(b.expression, 0)) / nullif(CAST(a.expression AS DOUBLE), 0) AS DOUBLE) "
-            f"AS expression_difference_percent FROM {join}) "
-            f"SELECT * REPLACE (round(expression_difference_percent, 6) AS expression_difference_percent) FROM final WHERE {filt}")
+    """Both sides stacked with their value in a column of its own, and folded per key; a key that holds a NULL is never
+    the other side's, so such rows are folded per side."""
+    cols = [f"col_{i}" for i in range(1, len(group_by or []) + 1)]
+
+    def side(number, src, expr, keys, cond):
+        picked = [f"{k} AS {c}" for k, c in zip(keys or [], cols, strict=True)]
+        values = [f"{expr} AS x", "NULL AS y"] if number == 0 else ["NULL AS x", f"{expr} AS y"]
+        return (f"SELECT {', '.join([*picked, f'{number} AS side', *values])} FROM {src}" + (f" WHERE {cond}" if cond else "")
+                + (f" GROUP BY {', '.join(keys)}" if keys else ""))
+
+    stacked = f"{side(0, a_src, a_expr, group_by, where)} UNION ALL {side(1, b_src, b_expr, b_group_by or group_by, b_where)}"
+    apart = f"CASE WHEN {' OR '.join(f'{c} IS NULL' for c in cols)} THEN side ELSE 2 END"
+    folded = f"SELECT {''.join(c + ', ' for c in cols)}max(x) AS x, max(y) AS y FROM ({stacked})"
+    folded += f" GROUP BY {', '.join([*cols, apart])}" if cols else ""
+    gap = "abs(coalesce(x, 0) - coalesce(y, 0))"
+    share = f"CASE WHEN x <> 0 THEN CAST({gap} / CAST(x AS DOUBLE) AS DOUBLE) END"
+    over = f"{share} > {tolerance_percent}" if tolerance_percent else f"{gap} > {tolerance}"
+    return (f"SELECT {''.join(c + ', ' for c in cols)}x AS expression, y AS compare_expression, {gap} AS expression_difference, "
+            f"round({share}, 6) AS expression_difference_percent FROM ({folded}) WHERE {over}")
 
 
 def q(name, sql):

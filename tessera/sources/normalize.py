@@ -292,10 +292,10 @@ def normalize_acs(raw: DataFrame, variables: dict[str, str] = ACS5_VARIABLES) ->
     """
     for col in ("state", "county", "tract"):
         if col not in raw.columns:
-            raise ValueError(f"Required column '{col}' missing from ACS input.")
+            raise ValueError(f"census input has no column {col!r}")
     missing = [v for v in variables if v not in raw.columns]
     if missing:
-        raise ValueError(f"Missing ACS variables in input: {missing}")
+        raise ValueError(f"census input lacks the variables {missing}")
     state, county, tract_code = zfill("state", 2), zfill("county", 3), zfill(F.col("tract").cast("string"), 6)
     return raw.select(
         state.alias("state"), county.alias("county"), tract_code.alias("tract_code"),
@@ -369,7 +369,7 @@ def normalize_tracts(raw: DataFrame, rings_col: str = "rings", wkb_col: str | No
 
     missing = [c for c in TRACT_REQUIRED if c not in raw.columns and not (c == "rings" and rings_col in raw.columns)]
     if missing:
-        raise ValueError(f"Missing expected tract columns: {missing}")
+        raise ValueError(f"tract input lacks the columns {missing}")
     wkb = F.col(wkb_col) if wkb_col and wkb_col in raw.columns else F.lit(None).cast("binary")
     return with_polygon_metrics(raw, rings_col, "m").select(
         F.col("GEOID").alias("tract"), F.col("STATEFP").alias("state_fips"), F.col("COUNTYFP").alias("county_fips"),
