@@ -22,6 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import in_slices, read, text_of
 
@@ -370,27 +371,29 @@ def segmentations(docs: DataFrame, n: int = 4, model: str | None = None) -> Data
     with open(model or default_model(), "rb") as f:
         proto = f.read()
 
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = loaded(proto)
-        for column in batches:
-            parts = []
-            for block in _blocks(chain.from_iterable(in_slices(column))):
+        for batch in batches:
+            doc, at = batch.column("doc"), 0
+            for block in _blocks(t or "" for texts in in_slices(doc.field("text")) for t in texts):
                 found = pieces.encode_all(block, n)
-                parts.append(pa.StructArray.from_arrays([
+                best = pa.StructArray.from_arrays([
                     pa.array([[ids for _, ids in f] for f in found], pa.list_(pa.list_(pa.int32()))),
                     pa.array([[score for score, _ in f] for f in found], pa.list_(pa.float64())),
-                    pa.array([pieces.decode(f[0][1].tolist()) for f in found], pa.string())], ["ids", "scores", "decoded"]))
-            yield pa.concat_arrays(parts)  # a batch has rows
+                    pa.array([pieces.decode(f[0][1].tolist()) for f in found], pa.string())], ["ids", "scores", "decoded"])
+                yield pa.RecordBatch.from_arrays([doc.slice(at, len(block)), best], names=["doc", "best"])
+                at += len(block)
 
-    return docs.select(F.struct("*").alias("doc"), F.arrow_udf(encode, SCHEMA)(text_of()).alias("best"))
+    kind = T.StructType([T.StructField("doc", docs.schema), T.StructField("best", T.StructType.fromDDL(SCHEMA))])
+    return docs.select(F.struct("*").alias("doc")).mapInArrow(encode, kind)
 
 
 def op5_nbest_pieces(spark, sf_dir):
     """Digests of the four best segmentations of every document and of the decoded text."""
     out = segmentations(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    digest = lambda c: F.sha2(F.array_join(c, ","), 256)
+    out = out.withColumn("digests", F.transform("best.ids", lambda x: F.sha2(F.array_join(x, ","), 256)))
     best = F.get("best.ids", F.lit(0))
-    return out.select("doc.doc_id", F.size(best).cast("long").alias("n_pieces"), digest(best).alias("ids_sha256"),
-                      F.transform("best.scores", lambda x: F.round(x, 6)).alias("scores"), digest(F.get("best.ids", F.lit(1))).alias("second_sha256"),
-                      F.transform("best.ids", lambda x: digest(x)).alias("all_sha256"),
+    return out.select("doc.doc_id", F.size(best).cast("long").alias("n_pieces"), F.get("digests", F.lit(0)).alias("ids_sha256"),
+                      F.transform("best.scores", lambda x: F.round(x, 6)).alias("scores"), F.get("digests", F.lit(1)).alias("second_sha256"),
+                      F.col("digests").alias("all_sha256"),
                       F.sha2("best.decoded", 256).alias("decoded_sha256"), (F.col("best.decoded") == text_of(F.col("doc.text"))).alias("round_trip"))
