@@ -13,15 +13,15 @@ join with the counts, as do the base score's. Nothing that grows with the corpus
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, UPPER, ascii_lower, cut_lineage, read, text_of
+from tessera.llm.common import ascii_lower, cut_lineage, read, text_of
 
 VOCABULARY = 16_000  # words that are symbols of the model, at most
 KNOWN = 60_000  # words whose counts tasks get, at most; an id takes two bytes
@@ -30,12 +30,10 @@ STATES = 4
 TOLERANCE = 0.002  # training ends when an iteration gains less log likelihood (natural) a token; a tenth of it in the sample
 START_TOKENS = 150_000  # of the sample that the training starts with
 SMOOTH = 0.1
-BLOCK = 64  # tokens whose transfer matrices are multiplied in step
+BLOCK = 512  # tokens of a block; only documents of several blocks need transfer matrices
+CHUNK = 400_000  # tokens about that a pass holds the distributions of
 END = "\n"  # no word holds one
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_TO_LOWER = str.maketrans(UPPER, LOWER)
-
 
 def held_out(doc_id: Column) -> Column:
     """Whether crc32 of the id as text leaves 2 modulo 7. A null id is never held out."""
@@ -65,22 +63,23 @@ class Symbols:
     id's symbol in the model: the END, the first ``own`` words, then the classes."""
 
     def __init__(self, words: list[str], own: int):
-        self.ids = {w: i for i, w in enumerate([END, *words])}
+        self.ids = {w.encode(): i for i, w in enumerate([END, *words])}
         self.first_class = len(self.ids)
         self.n = 1 + own + CLASSES
         classes = [own + min(len(w), CLASSES) for w in words[own:]]
         self.symbol = np.array([*range(own + 1), *classes, *range(own + 1, self.n)], np.int32)
 
     def encode(self, text: str) -> tuple[np.ndarray, list[str]]:
-        """Ids of a text with its end, and the words that aren't known."""
-        words = _WORD.findall(text.translate(_TO_LOWER))
-        words.append(END)
-        find, base = self.ids.get, self.first_class - 1
-        ids = [find(w, -1) for w in words]
-        rare = [w for w, i in zip(words, ids, strict=True) if i < 0]
+        """Ids of a text with its end, and the words that aren't known. Bytes are lowered and split at ASCII characters
+        alone, which are the letters and spaces that tokens are defined by."""
+        words = text.encode().lower().split()
+        words.append(END.encode())
+        ids = np.fromiter(map(self.ids.get, words, repeat(-1)), np.int32, len(words))
+        places = np.flatnonzero(ids < 0)
+        rare = [words[i].decode() for i in places.tolist()]
         if rare:
-            ids = [i if i >= 0 else base + min(len(w), CLASSES) for w, i in zip(words, ids, strict=True)]
-        return np.array(ids, np.uint16), rare
+            ids[places] = [self.first_class - 1 + min(len(w), CLASSES) for w in rare]
+        return ids.astype(np.uint16), rare
 
 
 # ---------------------------------------------------------------- recursions
@@ -93,107 +92,134 @@ def _layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return owner, np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
 
 
+class _Steps:
+    """Blocks by falling size and their tokens step by step: step t holds token t of every block longer than t, which
+    are the first blocks, at ``cuts[t]`` to ``cuts[t + 1]``."""
+
+    def __init__(self, blocks: np.ndarray, at: np.ndarray, sizes: np.ndarray, symbols: np.ndarray):
+        order = np.argsort(-sizes[blocks], kind="stable")
+        self.blocks, self.sizes = blocks[order], sizes[blocks[order]]
+        live = np.searchsorted(-self.sizes, -np.arange(self.sizes[0]), side="left")
+        self.cuts = np.concatenate([[0], np.cumsum(live)])
+        step = np.repeat(np.arange(len(live)), live)
+        self.block = np.arange(len(step)) - self.cuts[step]  # a token's block, by its place in ``blocks``
+        self.tokens = symbols[at[self.blocks][self.block] + step]
+
+    def spans(self) -> list[tuple[int, int]]:
+        cuts = self.cuts.tolist()
+        return list(zip(cuts[:-1], cuts[1:], strict=True))
+
+
 class Recursion:
-    """Scaled forward (and backward) recursions over a batch of documents, all blocks in step.
+    """Scaled forward and backward recursions over a batch of documents, many blocks in step.
 
-    A block's transfer matrix is the product of its tokens' transition and emission matrices, scaled as it grows; the
-    state distributions at block starts follow from these, document by document, and from them all positions.
+    A document of one block starts from the model and ends free. For longer ones, a block's transfer matrix is the
+    product of its tokens' transition and emission matrices, scaled as it grows; the state distributions before the
+    blocks and the backward vectors after them follow from these. Then every block is by itself: a forward pass keeps
+    each token's distribution and scale, and the backward pass divides by the same scales, so that the product of both
+    is a token's state probability. Blocks pass in chunks of about CHUNK tokens, however long a document is.
     """
 
     def __init__(self, model: dict, symbols: np.ndarray, lengths: np.ndarray):
         self.k = len(model["start"])
-        self.A, self.E = model["move"], model["emit"].T.copy()  # E: symbol x state
-        self.start = model["start"]
+        self.A, self.E = model["move"], np.ascontiguousarray(model["emit"].T)  # E: symbol x state
+        self.start, self.symbols, self.lengths = model["start"], symbols, lengths
         self.owner, self.number = _layout(lengths)
-        self.lengths = lengths
-        at = np.concatenate([[0], np.cumsum(lengths)[:-1]])[self.owner] + self.number * BLOCK
+        self.at = np.concatenate([[0], np.cumsum(lengths)[:-1]])[self.owner] + self.number * BLOCK
         self.sizes = np.minimum(BLOCK, lengths[self.owner] - self.number * BLOCK)
-        grid = at[:, None] + np.arange(BLOCK)[None, :]
-        self.valid = np.arange(BLOCK)[None, :] < self.sizes[:, None]
-        self.grid = np.where(self.valid, grid, 0)
-        self.tokens = np.where(self.valid, symbols[self.grid], 0)
-
-    def transfers(self) -> tuple[np.ndarray, np.ndarray]:
-        """Per block the scaled product over its tokens of (move, then emit); and the log of its scale."""
-        nb, k = len(self.owner), self.k
-        T = np.broadcast_to(np.eye(k), (nb, k, k)).copy()
-        logs = np.zeros(nb)
-        for t in range(BLOCK):
-            live = self.valid[:, t]
-            if not live.any():
-                break
-            step = (T.reshape(nb * k, k) @ self.A).reshape(nb, k, k) * self.E[self.tokens[:, t]][:, None, :]
-            T = np.where(live[:, None, None], step, T)
-            if t % 8 == 7 or t == BLOCK - 1:
-                scale = T.max(axis=(1, 2))
-                T /= scale[:, None, None]
-                logs += np.log(scale)
-        return T, logs
-
-    def starts(self, T: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """State distribution before each block, and each document's log likelihood."""
-        before = np.zeros((len(self.owner), self.k))
-        state = np.broadcast_to(self.start, (len(self.lengths), self.k)).copy()
-        total = np.zeros(len(self.lengths))
-        order = np.argsort(self.number, kind="stable")
-        cuts = np.searchsorted(self.number[order], np.arange(self.number.max() + 2 if len(order) else 1))
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            blocks = order[a:b]
-            own = self.owner[blocks]
-            before[blocks] = state[own]
-            after = np.einsum("bi,bij->bj", state[own], T[blocks])
-            scale = after.sum(1)
-            state[own] = after / scale[:, None]
-            total[own] += np.log(scale) + logs[blocks]
-        return before, total
-
-    def ends(self, T: np.ndarray) -> np.ndarray:
-        """Backward vector after each block, up to scale."""
+
+    def _chunks(self, blocks: np.ndarray) -> Iterator[_Steps]:
+        blocks = blocks[np.argsort(-self.sizes[blocks], kind="stable")]
+        chunk = np.cumsum(self.sizes[blocks]) // CHUNK
+        for part in np.split(blocks, np.flatnonzero(np.diff(chunk)) + 1):
+            if len(part):
+                yield _Steps(part, self.at, self.sizes, self.symbols)
+
+    def _transfers(self, blocks: np.ndarray) -> np.ndarray:
+        """Of ``blocks``, the product over the tokens of (move, then emit), up to scale; other blocks' are left empty."""
+        k = self.k
+        out = np.empty((len(self.owner), k, k)) if len(blocks) else np.empty((0, k, k))
+        for steps in self._chunks(blocks):
+            T = np.broadcast_to(np.eye(k), (len(steps.blocks), k, k)).copy()
+            for t, (a, b) in enumerate(steps.spans()):
+                grown = (T[: b - a].reshape(-1, k) @ self.A).reshape(-1, k, k)
+                np.multiply(grown, self.E[steps.tokens[a:b]][:, None, :], out=T[: b - a])
+                if t % 16 == 15:
+                    T[: b - a] /= T[: b - a].max(axis=(1, 2))[:, None, None]
+            out[steps.blocks] = T / T.max(axis=(1, 2))[:, None, None]
+        return out
+
+    def boundaries(self) -> tuple[np.ndarray, np.ndarray]:
+        """State distribution before each block, and the backward vector after it, up to scale."""
+        before = np.broadcast_to(self.start, (len(self.owner), self.k)).copy()
         after = np.ones((len(self.owner), self.k))
-        state = np.ones((len(self.lengths), self.k))
-        order = np.argsort(-self.number, kind="stable")
-        numbers = -self.number[order]
-        cuts = np.flatnonzero(np.diff(numbers, prepend=numbers[0] - 1 if len(numbers) else 0, append=1)) if len(numbers) else np.array([0])
-        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            blocks = order[a:b]
-            own = self.owner[blocks]
-            after[blocks] = state[own]
-            back = np.einsum("bij,bj->bi", T[blocks], state[own])
-            state[own] = back / back.sum(1)[:, None]
-        return after
+        blocks = np.flatnonzero((self.lengths > BLOCK)[self.owner])
+        T = self._transfers(blocks)
+        order = blocks[np.argsort(self.number[blocks], kind="stable")]
+        cuts = np.flatnonzero(np.diff(self.number[order], prepend=0)) if len(order) else []
+        later = np.split(order, cuts)[1:]  # the second blocks of all documents, then the third
+        for here in later:
+            state = np.einsum("bi,bij->bj", before[here - 1], T[here - 1])
+            before[here] = state / state.sum(1)[:, None]
+        for here in reversed(later):
+            state = np.einsum("bij,bj->bi", T[here], after[here])
+            after[here - 1] = state / state.sum(1)[:, None]
+        return before, after
+
+    def _forward(self, steps: _Steps, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per token its emissions, the state distribution after it, and its scale (its probability after those before)."""
+        emit = self.E[steps.tokens]
+        alpha, scale, ones = np.empty_like(emit), np.empty(len(emit)), np.ones(self.k)
+        state = before
+        for a, b in steps.spans():
+            here = alpha[a:b]
+            np.matmul(state[: b - a], self.A, out=here)
+            here *= emit[a:b]
+            np.matmul(here, ones, out=scale[a:b])
+            here /= scale[a:b, None]
+            state = here
+        return emit, alpha, scale
+
+    def _likely(self, steps: _Steps, scale: np.ndarray, total: np.ndarray) -> None:
+        of_block = np.bincount(steps.block, np.log(scale), minlength=len(steps.blocks))
+        np.add.at(total, self.owner[steps.blocks], of_block)
 
     def likelihoods(self) -> np.ndarray:
-        return self.starts(*self.transfers())[1]
+        before, _ = self.boundaries()
+        total = np.zeros(len(self.lengths))
+        for steps in self._chunks(np.arange(len(self.owner))):
+            _, _, scale = self._forward(steps, before[steps.blocks])
+            self._likely(steps, scale, total)
+        return total
 
     def expected(self, n_symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
         """Expected counts: of first states (before the first move), moves and emissions; and the log likelihood."""
-        T, logs = self.transfers()
-        before, total = self.starts(T, logs)
-        beta = self.ends(T)
-        nb, k = len(self.owner), self.k
-        alphas = np.empty((BLOCK + 1, nb, k))
-        alphas[0] = before
-        for t in range(BLOCK):
-            step = (alphas[t] @ self.A) * self.E[self.tokens[:, t]]
-            step /= step.sum(1)[:, None]
-            alphas[t + 1] = np.where(self.valid[:, t][:, None], step, alphas[t])
-        move, emit = np.zeros((k, k)), np.zeros((k, n_symbols))
-        for t in range(BLOCK - 1, -1, -1):
-            live = self.valid[:, t]
-            if not live.any():
-                continue
-            carried = beta * self.E[self.tokens[:, t]]
-            pair = alphas[t][:, :, None] * self.A[None] * carried[:, None, :]
-            pair = pair[live] / pair[live].sum(axis=(1, 2))[:, None, None]
-            move += pair.sum(0)
-            after = pair.sum(1)
+        before, after = self.boundaries()
+        k = self.k
+        first, move, emitted, total = np.zeros(k), np.zeros((k, k)), np.zeros((k, n_symbols)), np.zeros(len(self.lengths))
+        back = np.ascontiguousarray(self.A.T)
+        for steps in self._chunks(np.arange(len(self.owner))):
+            start = before[steps.blocks]
+            emit, alpha, scale = self._forward(steps, start)
+            self._likely(steps, scale, total)
+            last = alpha[steps.cuts[steps.sizes - 1] + np.arange(len(steps.blocks))]
+            beta = after[steps.blocks]
+            beta /= (last * beta).sum(1)[:, None]
+            spans = steps.spans()
+            for t in range(len(spans) - 1, -1, -1):
+                a, b = spans[t]
+                carried = emit[a:b]
+                carried *= beta[: b - a]
+                carried /= scale[a:b, None]
+                prior = alpha[spans[t - 1][0] :][: b - a] if t else start[: b - a]
+                move += prior.T @ carried
+                alpha[a:b] *= beta[: b - a]
+                np.matmul(carried, back, out=beta[: b - a])
             for i in range(k):
-                emit[i] += np.bincount(self.tokens[live, t], weights=after[:, i], minlength=n_symbols)
-            back = carried @ self.A.T
-            beta = np.where(live[:, None], back / back.sum(1)[:, None], beta)
-        first = before[self.number == 0] * beta[self.number == 0]
-        first /= first.sum(1)[:, None]
-        return first.sum(0), move, emit, float(total.sum())
+                emitted[i] += np.bincount(steps.tokens, weights=alpha[:, i], minlength=n_symbols)
+            opening = self.number[steps.blocks] == 0
+            first += (start[opening] * beta[opening]).sum(0)
+        return first, move * self.A, emitted, float(total.sum())
 
 
 def new_model(unigram: np.ndarray, states: int = STATES, seed: int = 5) -> dict:
@@ -211,7 +237,7 @@ def reestimated(first: np.ndarray, move: np.ndarray, emit: np.ndarray, unigram:
     return {"start": (first + SMOOTH) / (first + SMOOTH).sum(), "move": move / move.sum(1)[:, None], "emit": emit / emit.sum(1)[:, None]}
 
 
-def _groups(sizes: list[int], most: int = 150_000) -> Iterator[tuple[int, int]]:
+def _groups(sizes: list[int], most: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Runs of documents of about ``most`` tokens, so a batch's arrays stay small."""
     begin = held = 0
     for i, n in enumerate(sizes):
@@ -224,9 +250,9 @@ def _groups(sizes: list[int], most: int = 150_000) -> Iterator[tuple[int, int]]:
 
 
 def _recursions(blobs: list[bytes], model: dict, symbol: np.ndarray) -> Iterator[tuple[Recursion, int, int]]:
-    arrays = [symbol[np.frombuffer(b, np.uint16)] for b in blobs]
-    for a, b in _groups([len(x) for x in arrays]):
-        yield Recursion(model, np.concatenate(arrays[a:b]), np.array([len(x) for x in arrays[a:b]])), a, b
+    sizes = [len(b) // 2 for b in blobs]
+    for a, b in _groups(sizes):
+        yield Recursion(model, symbol[np.frombuffer(b"".join(blobs[a:b]), np.uint16)], np.array(sizes[a:b])), a, b
 
 
 # ---------------------------------------------------------------- jobs

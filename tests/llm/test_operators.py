@@ -156,7 +156,7 @@ def test_fisher_yates_is_uniform():
 def test_hmm_recursions_match_plain_loops():
     rng = np.random.default_rng(0)
     model = hmm_lm.reestimated(rng.random(3), rng.random((3, 3)), rng.random((3, 9)), rng.dirichlet(np.ones(9)))
-    lengths = np.array([1, 5, 64, 65, 200, 700])
+    lengths = np.array([1, 5, 512, 513, 200, 1700])
     symbols = rng.integers(0, 9, lengths.sum()).astype(np.int32)
     r = hmm_lm.Recursion(model, symbols, lengths)
     likely = r.likelihoods()
