@@ -1,21 +1,22 @@
 """Table-valued calendar operators: series, date spine, date dimension, fiscal 4-5-4 calendar.
 
-Spines are generated by ``sequence`` + ``explode`` from one bounds row, so
-their size is the number of periods (days, weeks, hours), never the size of
-the data the bounds came from. Week membership is an equi-join on the
-computed week start instead of a range join; only the fiscal-year lookup is
-a range join, against a table with one row per fiscal year.
+Spines are generated from one bounds row in two levels (runs of periods, dealt over the partitions, then the periods of
+a run), so their size is the number of periods and no array holds a long spine. The fiscal calendar is date arithmetic
+on each day: a day's fiscal year comes from the sorted ends of all fiscal years, one short array, and its week, period
+and quarter from the days since the year's start.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from tessera.functions import calendar as C
 
 
+SPINE_RUN = 32_768  # periods that one array of a spine holds at most
+
+
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
     """DAT-26: 1..n as ``generated_number``."""
     if upper_bound <= 0:
@@ -29,10 +30,13 @@ def date_spine_between(bounds: DataFrame, start_col: str, end_col: str, datepart
     out = out or f"date_{datepart}"
     s, e = F.col(start_col), F.col(end_col)
     n = C.datediff_boundaries(s, e, datepart)
-    offsets = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1)).otherwise(F.array().cast("array<bigint>"))
-    spine = bounds.select("*", F.explode(offsets).alias("_k"))
+    runs = F.when(n > 0, F.sequence(F.lit(0).cast("bigint"), n - 1, F.lit(SPINE_RUN).cast("bigint"))).otherwise(
+        F.array().cast("array<bigint>"))
+    spine = bounds.select("*", F.explode(runs).alias("_run"), n.alias("_n")).repartition(F.col("_run"))
+    run = F.sequence("_run", F.least(F.col("_run") + SPINE_RUN, F.col("_n")) - 1)
+    spine = spine.select("*", F.explode(run).alias("_k"))
     spine = spine.withColumn(out, C.dateadd(datepart, F.col("_k").cast("int"), s))
-    return spine.where(F.col(out) <= e.cast("timestamp_ntz")).drop("_k")
+    return spine.where(F.col(out) <= e.cast("timestamp_ntz")).drop("_run", "_n", "_k")
 
 
 def date_spine(spark: SparkSession, datepart: str, start_date, end_date) -> DataFrame:
@@ -110,60 +114,56 @@ def date_dimension(base_dates: DataFrame, date_col: str = "date_day") -> DataFra
     )
 
 
+def fiscal_year_ends(dates: DataFrame, year_end_month: int = 12, week_start_day: int = 1, shift_year: int = 1) -> DataFrame:
+    """(fiscal_year_number, fiscal_year_end_date): of the weeks that start in the year-end month, the last day of that
+    which ends nearest to the month's end. Week ends are seven days apart, so none tie."""
+    week_end = F.date_add("date_day", 6)
+    opens_week = (F.col("month_of_year") == year_end_month) & (F.col("day_of_week") == week_start_day)
+    return dates.where(opens_week).groupBy((F.col("year_number") - shift_year).alias("fiscal_year_number")).agg(
+        F.min_by(week_end, F.abs(F.datediff(F.last_day("date_day"), week_end))).alias("fiscal_year_end_date"))
+
+
 def fiscal_year_dates(dates: DataFrame, year_end_month: int = 12, week_start_day: int = 1,
                       shift_year: int = 1) -> DataFrame:
-    """DAT-30: fiscal years ending on the week end closest to the year-end month's end.
+    """DAT-30: each day with its fiscal year and week. ``dates`` is a date dimension without gaps.
 
-    The first fiscal year has no predecessor, so its start is NULL and its days drop out.
+    A fiscal year begins on the day after the one before ended; days up to the first end and after the last drop out.
     """
-    dim = dates
-    year_month_end = dim.where(F.col("month_of_year") == year_end_month).select(
-        (F.col("year_number") - shift_year).alias("fiscal_year_number"), "month_end_date").distinct()
-    weeks = dim.where(F.col("day_of_week") == week_start_day).select(
-        "year_number", "month_of_year", F.col("date_day").alias("week_start_date"),
-        F.date_add("date_day", 6).alias("week_end_date"))
-    year_week_ends = weeks.where(F.col("month_of_year") == year_end_month).select(
-        (F.col("year_number") - shift_year).alias("fiscal_year_number"), "week_end_date").distinct()
-    ranked = year_week_ends.join(year_month_end, "fiscal_year_number").withColumn(
-        "closest_to_month_end",
-        F.rank().over(W.partitionBy("fiscal_year_number").orderBy(
-            F.abs(F.datediff(F.col("month_end_date"), F.col("week_end_date"))))))
-    # one row per fiscal year: a global window over a table of a few dozen rows
-    fy = ranked.where(F.col("closest_to_month_end") == 1).select(
-        "fiscal_year_number",
-        F.date_add(F.lag("week_end_date").over(W.orderBy("week_end_date")), 1).alias("fiscal_year_start_date"),
-        F.col("week_end_date").alias("fiscal_year_end_date"))
-    d = dim.select("date_day", "day_of_week")
-    # week containing each day: equi-join on its computed week start
-    offset = F.pmod(F.col("day_of_week") - F.lit(week_start_day), F.lit(7))
-    d = d.withColumn("week_start_date", F.date_sub("date_day", offset))
-    in_year = d.join(F.broadcast(fy), (F.col("date_day") >= F.col("fiscal_year_start_date"))
-                     & (F.col("date_day") <= F.col("fiscal_year_end_date")), "inner")
-    j = in_year.join(weeks.select("week_start_date", "week_end_date"), "week_start_date", "inner")
-    return j.select(
-        "date_day", "fiscal_year_number", "fiscal_year_start_date", "fiscal_year_end_date", "week_start_date",
-        "week_end_date",
-        F.dense_rank().over(W.partitionBy("fiscal_year_number").orderBy("week_start_date")).alias("fiscal_week_of_year"),
+    ends = fiscal_year_ends(dates, year_end_month, week_start_day, shift_year).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("fiscal_year_end_date").alias("last"),
+                                             F.col("fiscal_year_number").alias("number")))).alias("_ends"))
+    day = F.col("date_day")
+    # one row, joined on a constant key
+    d = dates.select(day, "day_of_week", F.lit(1).alias("_k")).join(F.broadcast(ends.withColumn("_k", F.lit(1))), "_k")
+    d = d.withColumn("_past", F.size(F.filter("_ends", lambda y: y["last"] < day)))
+    d = d.where((F.col("_past") > 0) & (F.col("_past") < F.size("_ends"))).withColumn("_year", F.get("_ends", F.col("_past")))
+    start = F.date_add(F.get("_ends", F.col("_past") - 1)["last"], 1)
+    week_start = F.date_sub(day, F.pmod(F.col("day_of_week") - F.lit(week_start_day), F.lit(7)))
+    return d.select(
+        day,
+        F.col("_year.number").alias("fiscal_year_number"),
+        start.alias("fiscal_year_start_date"),
+        F.col("_year.last").alias("fiscal_year_end_date"),
+        week_start.alias("week_start_date"),
+        F.date_add(week_start, 6).alias("week_end_date"),
+        (F.floor(F.datediff(day, start) / 7) + 1).cast("int").alias("fiscal_week_of_year"),
     )
 
 
 def fiscal_periods(dates: DataFrame, year_end_month: int = 12, week_start_day: int = 1, shift_year: int = 1) -> DataFrame:
-    """DAT-31: 4-5-4 periods in 13-week quarters; week 53 joins period 3; quarter capped at 3 (0-based)."""
+    """DAT-31: quarters of 13 weeks, the last with any 53rd; in each, periods of 4, 5 and the remaining weeks."""
     f = fiscal_year_dates(dates, year_end_month, week_start_day, shift_year)
-    wk = F.col("fiscal_week_of_year")
-    w13 = F.pmod(wk - 1, F.lit(13))
-    quarter = F.least(F.floor((wk - 1) / F.lit(13.0)), F.lit(3)).cast("int")
-    poq = (F.when(wk == 53, 3).when(w13.between(0, 3), 1).when(w13.between(4, 8), 2)
-           .when(w13.between(9, 12), 3))
-    f = f.select("*", quarter.alias("quarter_number"), poq.alias("period_of_quarter"))
-    f = f.withColumn("fiscal_period_number", (F.col("quarter_number") * 3 + F.col("period_of_quarter")).cast("int"))
+    week = F.col("fiscal_week_of_year") - 1
+    quarter = F.least(F.floor(week / 13), F.lit(3)).cast("int")
+    week = week - 13 * quarter
+    period = F.when(week < 4, 0).when(week < 9, 1).otherwise(2)
+    skipped = F.when(week < 4, 0).when(week < 9, 4).otherwise(9)
     return f.select(
         "date_day", "fiscal_year_number", "week_start_date", "week_end_date", "fiscal_week_of_year",
-        F.dense_rank().over(W.partitionBy("fiscal_period_number").orderBy("fiscal_week_of_year")).alias(
-            "fiscal_week_of_period"),
-        "fiscal_period_number",
-        (F.col("quarter_number") + 1).alias("fiscal_quarter_number"),
-        F.col("period_of_quarter").alias("fiscal_period_of_quarter"),
+        (week - skipped + 1).cast("int").alias("fiscal_week_of_period"),
+        (3 * quarter + period + 1).cast("int").alias("fiscal_period_number"),
+        (quarter + 1).alias("fiscal_quarter_number"),
+        (period + 1).alias("fiscal_period_of_quarter"),
     )
 
 

@@ -83,56 +83,45 @@ def q_date_dimension(spark, sf_dir):
 
 
 def _fiscal_cte(yem: int, wsd: int, shift: int) -> str:
+    """Fiscal days by arithmetic alone: the week end (weekday ``wsd + 5`` modulo 7 from Sunday) within three days of the
+    month's end, kept to weeks that start in the month and the range; as-of joins find the ends around a day."""
+    last = (wsd + 5) % 7
     return f"""
-year_month_end AS (SELECT year_number - {shift} AS fiscal_year_number, month_end_date FROM dim
-                   WHERE month_of_year = {yem} GROUP BY 1, 2),
-weeks AS (SELECT year_number, month_of_year, date_day AS week_start_date, CAST(date_day + 6 AS DATE) AS week_end_date
-          FROM dim WHERE day_of_week = {wsd}),
-year_week_ends AS (SELECT year_number - {shift} AS fiscal_year_number, week_end_date FROM weeks
-                   WHERE month_of_year = {yem} GROUP BY 1, 2),
-weeks_at_month_end AS (
-  SELECT d.fiscal_year_number, d.week_end_date, m.month_end_date,
-         rank() OVER (PARTITION BY d.fiscal_year_number ORDER BY abs(date_diff('day', d.week_end_date, m.month_end_date)))
-           AS closest_to_month_end
-  FROM year_week_ends d JOIN year_month_end m ON d.fiscal_year_number = m.fiscal_year_number),
-fiscal_year_range AS (
-  SELECT w.fiscal_year_number, CAST(lag(w.week_end_date) OVER (ORDER BY w.week_end_date) + 1 AS DATE) AS fiscal_year_start_date,
-         w.week_end_date AS fiscal_year_end_date
-  FROM weeks_at_month_end w WHERE w.closest_to_month_end = 1),
-fiscal_year_dates AS (
-  SELECT d.date_day, m.fiscal_year_number, m.fiscal_year_start_date, m.fiscal_year_end_date, w.week_start_date,
-         w.week_end_date,
-         CAST(dense_rank() OVER (PARTITION BY m.fiscal_year_number ORDER BY w.week_start_date) AS INTEGER) AS fiscal_week_of_year
-  FROM dim d JOIN fiscal_year_range m ON d.date_day BETWEEN m.fiscal_year_start_date AND m.fiscal_year_end_date
-  JOIN weeks w ON d.date_day BETWEEN w.week_start_date AND w.week_end_date),
-w13 AS (SELECT f.*, (fiscal_week_of_year - 1) % 13 AS w13_number,
-               CAST(least(floor((fiscal_week_of_year - 1) / 13.0), 3) AS INTEGER) AS quarter_number
-        FROM fiscal_year_dates f),
-periods AS (SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-               CASE WHEN fiscal_week_of_year = 53 THEN 3 WHEN w13_number BETWEEN 0 AND 3 THEN 1
-                    WHEN w13_number BETWEEN 4 AND 8 THEN 2 WHEN w13_number BETWEEN 9 AND 12 THEN 3 END AS period_of_quarter,
-               quarter_number FROM w13),
-pq AS (SELECT *, CAST(quarter_number * 3 + period_of_quarter AS INTEGER) AS fiscal_period_number FROM periods),
+span AS (SELECT min(date_day) AS lo, max(date_day) AS hi FROM dim),
+closing AS (SELECT y, make_date(y, {yem}, 1) AS first_of, last_day(make_date(y, {yem}, 1)) AS last_of, lo, hi
+            FROM span, range(year(lo), year(hi) + 1) r(y)),
+bounded AS (SELECT y, greatest(lo, first_of) AS a, least(hi, last_of) AS z,
+                   last_of + 3 - CAST((dayofweek(last_of + 3) - {last} + 7) % 7 AS INTEGER) AS best FROM closing),
+weekly AS (SELECT y, best, CAST(a + 6 + CAST(({last} - dayofweek(a + 6) + 7) % 7 AS INTEGER) AS DATE) AS soonest,
+                  CAST(z + 6 - CAST((dayofweek(z + 6) - {last} + 7) % 7 AS INTEGER) AS DATE) AS latest FROM bounded WHERE a <= z),
+fends AS (SELECT CAST(y - {shift} AS BIGINT) AS fy, CAST(least(greatest(best, soonest), latest) AS DATE) AS fin
+          FROM weekly WHERE soonest <= latest),
+fdays AS (SELECT date_day, n.fy, CAST(p.fin + 1 AS DATE) AS began, n.fin, date_day - p.fin - 1 AS nth
+          FROM dim ASOF JOIN fends n ON date_day <= n.fin ASOF JOIN fends p ON date_day > p.fin),
+fiscal_days AS (SELECT date_day, CAST(fy AS INTEGER) AS fiscal_year_number, began AS fiscal_year_start_date, fin AS fiscal_year_end_date,
+                       CAST(date_day - CAST(nth % 7 AS INTEGER) AS DATE) AS week_start_date,
+                       CAST(date_day - CAST(nth % 7 AS INTEGER) + 6 AS DATE) AS week_end_date,
+                       CAST(nth // 7 + 1 AS INTEGER) AS fiscal_week_of_year FROM fdays),
+-- a period of each week of a year, looked up by the week's number
+retail AS (SELECT CAST(row_number() OVER (ORDER BY q, p, w) AS INTEGER) AS week, q, p, w
+           FROM range(1, 5) a(q), range(1, 4) b(p), range(1, 6) c(w) WHERE w <= CASE WHEN p = 2 OR (q = 4 AND p = 3) THEN 5 ELSE 4 END),
 fiscal AS (
-  SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year,
-         CAST(dense_rank() OVER (PARTITION BY fiscal_period_number ORDER BY fiscal_week_of_year) AS INTEGER) AS fiscal_week_of_period,
-         fiscal_period_number, quarter_number + 1 AS fiscal_quarter_number, period_of_quarter AS fiscal_period_of_quarter
-  FROM pq)"""
+  SELECT date_day, fiscal_year_number, week_start_date, week_end_date, fiscal_week_of_year, CAST(w AS INTEGER) AS fiscal_week_of_period,
+         CAST(3 * q + p - 3 AS INTEGER) AS fiscal_period_number, CAST(q AS INTEGER) AS fiscal_quarter_number,
+         CAST(p AS INTEGER) AS fiscal_period_of_quarter
+  FROM fiscal_days JOIN retail ON week = fiscal_week_of_year)"""
 
 
-@register("cal_fiscal_year_dates", "WITH " + _DIM_CTE + "," + _fiscal_cte(12, 1, 1) + " SELECT * FROM fiscal_year_dates")
+@register("cal_fiscal_year_dates", "WITH " + _DIM_CTE + "," + _fiscal_cte(12, 1, 1) + " SELECT * FROM fiscal_days")
 def q_fiscal_year_dates(spark, sf_dir):
     """DAT-30 (December year end, Sunday weeks)."""
-    return K.fiscal_year_dates(_dim(spark, sf_dir), 12, 1, 1).withColumn(
-        "fiscal_week_of_year", F.col("fiscal_week_of_year").cast("int"))
+    return K.fiscal_year_dates(_dim(spark, sf_dir), 12, 1, 1)
 
 
 @register("cal_fiscal_periods", "WITH " + _DIM_CTE + "," + _fiscal_cte(1, 1, 1) + " SELECT * FROM fiscal")
 def q_fiscal_periods(spark, sf_dir):
     """DAT-31 with the date library's own test parameters (year_end_month=1, week_start_day=1, shift_year=1)."""
-    f = K.fiscal_periods(_dim(spark, sf_dir), 1, 1, 1)
-    return f.select(*[F.col(c).cast("int").alias(c) if c in ("fiscal_week_of_year", "fiscal_week_of_period") else F.col(c)
-                      for c in f.columns])
+    return K.fiscal_periods(_dim(spark, sf_dir), 1, 1, 1)
 
 
 @register(
@@ -143,9 +132,7 @@ def q_fiscal_periods(spark, sf_dir):
 )
 def q_dim_date_fiscal(spark, sf_dir):
     """DAT-32: date dimension with fiscal columns."""
-    j = K.dim_date_with_fiscal(_dim(spark, sf_dir), 1, 1, 1)
-    return j.select(*[F.col(c).cast("int").alias(c) if c in ("fiscal_week_of_year", "fiscal_week_of_period") else F.col(c)
-                      for c in j.columns])
+    return K.dim_date_with_fiscal(_dim(spark, sf_dir), 1, 1, 1)
 
 
 _HELPERS_SQL = """

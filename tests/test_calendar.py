@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import calendar as C
@@ -71,6 +72,49 @@ def test_fiscal_calendar(spark):
     assert fp.agg(F.max("fiscal_quarter_number")).first()[0] == 4
 
 
+def _plain_fiscal(days, month, first_weekday, shift):
+    """Fiscal days by loops: (day, year, start, end, week start, week)."""
+    opens = [d for d in days if d.isoweekday() % 7 + 1 == first_weekday]
+    ends = []
+    for year in sorted({d.year for d in days}):
+        last = dt.date(year + month // 12, month % 12 + 1, 1) - dt.timedelta(1)
+        near = [d + dt.timedelta(6) for d in opens if (d.year, d.month) == (year, month)]
+        if near:
+            ends.append((min(near, key=lambda e: abs((e - last).days)), year - shift))
+    out = []
+    for (before, _), (end, year) in zip(ends[:-1], ends[1:], strict=True):
+        for d in days:
+            if before < d <= end:
+                week = (d - before).days - 1
+                out.append((d, year, before + dt.timedelta(1), end, d - dt.timedelta(week % 7), week // 7 + 1))
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("start", "end", "month", "first_weekday", "shift"), [
+    ("2015-01-01", "2019-06-01", 1, 1, 1), ("2014-01-30", "2019-01-16", 1, 2, 0), ("2012-12-10", "2017-12-12", 12, 1, 1),
+    ("2000-02-28", "2004-02-29", 2, 5, 1), ("2010-06-29", "2013-06-27", 6, 7, 0), ("2015-03-01", "2015-09-01", 12, 1, 1)])
+def test_fiscal_years_match_plain_loops(spark, start, end, month, first_weekday, shift):
+    """Ranges that begin or end inside the year-end month are among these."""
+    lo, hi = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+    days = [lo + dt.timedelta(k) for k in range((hi - lo).days)]
+    dim = K.get_date_dimension(spark, start, end)
+    rows = K.fiscal_year_dates(dim, month, first_weekday, shift).collect()
+    want = _plain_fiscal(days, month, first_weekday, shift)
+    assert sorted((r.date_day, r.fiscal_year_number, r.fiscal_year_start_date, r.fiscal_year_end_date, r.week_start_date,
+                   r.fiscal_week_of_year) for r in rows) == want
+    assert all(r.week_end_date - r.week_start_date == dt.timedelta(6) for r in rows)
+
+
+def test_long_spine_is_dealt_in_runs(spark):
+    """A quarter of seconds: no array holds more than a run, and several tasks make the periods."""
+    spine = K.date_spine(spark, "second", dt.datetime(2020, 1, 1), dt.datetime(2020, 4, 1))
+    got = spine.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("date_second").alias("d"),
+                    F.min("date_second").alias("lo"), F.max("date_second").alias("hi")).first()
+    assert got.n == got.d == 91 * 86_400
+    assert (got.lo, got.hi) == (dt.datetime(2020, 1, 1), dt.datetime(2020, 3, 31, 23, 59, 59))
+    assert K.date_spine(spark, "day", dt.datetime(2020, 1, 5), dt.datetime(2020, 1, 1)).count() == 0
+
+
 def test_truncation_independent_of_session_zone(spark):
     prev = spark.conf.get("spark.sql.session.timeZone")
     try:
