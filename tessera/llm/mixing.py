@@ -5,6 +5,8 @@ row of slots, cut into output shards. A shard's source counts are a multinomial
 its slots draws a source by a hash); the few slots by which a source's total misses its quota are then passed from
 sources with too many to sources with too few. A source's slots run through its blocks epoch after epoch in a
 pseudorandom order: a keyed permutation of the block indexes, computed per slot. Slots and blocks are joined by index.
+A source's last, short block closes each epoch, and its last slot takes only the words still due, so that a source's
+taken words are its target rounded, however small the source.
 """
 
 from __future__ import annotations
@@ -19,7 +21,10 @@ SHARD = 1024  # slots
 CAP = 3.0  # times a source's size
 ROUNDS = 24  # of the permutation
 CELLS = 4096  # of the table that finds a draw's source
+RUN = 1000  # copies of one row that stay in one hash bucket
+TASK_SLOTS = 1 << 16  # permuted by one task
 SEED = 11
+ROW = "_mix_row"  # number of a row, no part of what is hashed
 
 
 def _hash(*parts) -> Column:
@@ -60,34 +65,52 @@ def source_targets(sources: DataFrame) -> DataFrame:
 
 
 def row_hashes(docs: DataFrame) -> list[Column]:
-    return [F.xxhash64(F.lit(SEED + k), *[F.col(f"`{c}`") for c in docs.columns]).alias(n) for k, n in enumerate(("h", "h2"))]
+    return [F.xxhash64(F.lit(SEED + k), *[F.col(f"`{c}`") for c in docs.columns if c != ROW]).alias(n) for k, n in enumerate(("h", "h2"))]
+
+
+def copy_numbers(rows: DataFrame) -> DataFrame:
+    """Add copy: a number from 0 for rows with the same h and h2. ``rows`` has part, where the row was written; a part's
+    copies are numbered by themselves, after those of the parts before, so no task holds all copies of a row."""
+    counts = rows.groupBy("h", "h2", "part").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy("h", "h2").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("h", "h2", "part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_base"))
+    inside = F.row_number().over(Window.partitionBy("h", "h2", "part").orderBy("h")) - 1
+    return rows.withColumn("_copy", inside).join(bases, ["h", "h2", "part"]).withColumn("copy", F.col("_base") + F.col("_copy")).drop("_base", "_copy", "part")
 
 
 def streams(docs: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """The documents' places in their sources' streams, and the sources; both written tables.
 
-    Places: the columns ``keep``, h and h2 (hashes of the row), size, idx, at (the first word's place). Sources: source,
-    source_size, idx, weight, target, n_blocks, quota. The order in a source is by a seeded hash of the row; equal rows
-    are interchangeable. The running sums go over hash buckets and then inside each, so no task holds a source.
+    ``docs`` has text, source and, beside ``keep``, any column that tells rows apart. Places: the columns ``keep``, size,
+    idx, at (the first word's place). Sources: source, source_size, idx, weight, target, n_blocks, quota (slots) and
+    last_words (that the last slot takes). The order in a source is by a seeded hash of the row; equal rows are
+    interchangeable. The running sums go over hash buckets and then inside each, and every RUN copies of a row have
+    another bucket, so no task holds a source or a group of equal rows.
     """
     rows = cut_lineage(docs.select(*keep, F.col("source").cast("string").alias("source"), *row_hashes(docs),
-                                   F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
+                                   F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                                   F.spark_partition_id().alias("part")))
     sources = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs")))
     sources = sources.withColumn("n_blocks", F.ceil(F.col("source_size") / BLOCK).cast("long"))
-    quota = F.round(F.col("target") * F.col("n_blocks") / F.col("source_size"))
-    sources = cut_lineage(sources.withColumn("quota", F.when(F.col("source_size") > 0, quota).otherwise(0).cast("long")))
+    words = F.round("target").cast("long")
+    filled = F.col("source_size") > 0
+    epoch_words = F.greatest(F.lit(1), F.col("source_size"))
+    rest = F.when(filled, words % epoch_words).otherwise(0)  # beyond whole epochs
+    quota = F.when(filled, F.floor(words / epoch_words) * F.col("n_blocks") + F.ceil(rest / BLOCK)).otherwise(0)
+    sources = cut_lineage(sources.withColumns({"quota": quota.cast("long"), "last_words": F.when(rest > 0, (rest - 1) % BLOCK + 1).otherwise(BLOCK).cast("long")}))
     named = sources.select(F.col("source").alias("_source"), "idx", F.greatest(F.lit(1), F.ceil(F.col("n_docs") / 2000)).cast("long").alias("_buckets"))
-    rows = join_small(rows, named, rows["source"].eqNullSafe(named["_source"])).withColumn("_bucket", F.pmod("h", F.col("_buckets")))
+    rows = join_small(copy_numbers(rows), named, F.col("source").eqNullSafe(F.col("_source")))
+    rows = rows.withColumn("_bucket", F.pmod(_hash(SEED, F.col("h"), F.floor(F.col("copy") / RUN)), F.col("_buckets")))
     sums = rows.groupBy("idx", "_bucket").agg(F.sum("size").alias("_sum"))
     bases = running_offsets(sums, ["idx"], "_bucket", "_sum", "_base").select("idx", "_bucket", "_base")
-    inside = Window.partitionBy("idx", "_bucket").orderBy("h", "h2").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("idx", "_bucket").orderBy("h", "h2", "copy").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = join_small(placed, cut_lineage(bases), ["idx", "_bucket"])
-    return cut_lineage(placed.select(*keep, "h", "h2", "size", "idx", (F.col("_base") + F.col("_before")).alias("at"))), sources
+    return cut_lineage(placed.select(*keep, "size", "idx", (F.col("_base") + F.col("_before")).alias("at"))), sources
 
 
 def slots(sources: DataFrame) -> DataFrame:
-    """(shard, slot, idx, block, epoch) for each slot of the mix."""
+    """(shard, slot, idx, block, epoch, words) for each slot of the mix; the slot takes the first ``words`` of its block."""
     spark = sources.sparkSession
     total = sources.agg(F.sum("quota")).first()[0] or 0
     whole = Window.orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
@@ -117,30 +140,37 @@ def slots(sources: DataFrame) -> DataFrame:
     within = ranked.where(F.col("j") < F.col("quota")).select("_n", "shard", "idx", "j")
     over = join_small(ranked.where(F.col("j") >= F.col("quota")), balance.select("idx", "_over_at"), "idx")
     passed = over.withColumn("_r", F.col("_over_at") + F.col("j") - F.col("quota")).join(missing, "_r").select("_n", "shard", F.col("_to").alias("idx"), F.col("_j").alias("j"))
-    final = join_small(within.unionByName(passed), sources.select("idx", "n_blocks"), "idx")
+    # the permutation is most of the work, so its tasks go by the number of slots
+    final = within.unionByName(passed).repartition(max(1, -(-total // TASK_SLOTS)), "idx", "j")
+    final = join_small(final, sources.select("idx", "n_blocks", "source_size", "quota", "last_words"), "idx")
     epoch = F.floor(F.col("j") / F.col("n_blocks")).cast("long")
+    index, n_whole = F.col("j") % F.col("n_blocks"), F.floor(F.col("source_size") / BLOCK).cast("long")
     # another order in each epoch
-    block = permuted(F.col("j") % F.col("n_blocks"), F.col("n_blocks"), _hash(F.col("idx"), epoch))
-    return final.select("shard", (F.col("_n") % SHARD).alias("slot"), "idx", block.alias("block"), epoch.alias("epoch"))
+    block = F.when(index < n_whole, permuted(index, F.greatest(F.lit(1).cast("long"), n_whole), _hash(F.col("idx"), epoch))).otherwise(index)
+    words = F.when(F.col("j") == F.col("quota") - 1, F.col("last_words")).otherwise(BLOCK).cast("long")
+    return final.select("shard", (F.col("_n") % SHARD).alias("slot"), "idx", block.alias("block"), epoch.alias("epoch"), words.alias("words"))
 
 
 def pieces(placed: DataFrame) -> DataFrame:
-    """The parts that blocks cut documents into: idx, block, at (of the document in the stream), first (in the document), n."""
+    """The parts that blocks cut documents into: idx, block, at (of the document in the stream), first (in the document),
+    n, and inside (the part's place in the block), beside the columns of ``placed``."""
     first, last = F.floor(F.col("at") / BLOCK), F.floor((F.col("at") + F.col("size") - 1) / BLOCK)
     parts = placed.where("size > 0").select("*", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("block"))
     begin = F.greatest(F.col("at"), F.col("block") * BLOCK)
     end = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * BLOCK)
-    return parts.select("idx", "block", "at", (begin - F.col("at")).alias("first"), (end - begin).alias("n"))
+    return parts.withColumns({"first": begin - F.col("at"), "n": end - begin, "inside": begin - F.col("block") * BLOCK})
 
 
 def op7_block_mix(spark, sf_dir):
     """Words taken of each document. Null text: no words. Null source: the last source. Empty input: empty result. Rows
     equal in every column are documents of their own. A source without words has target 0."""
     placed, sources = streams(read(spark, sf_dir, "documents").select("doc_id", "text", "source"), ["doc_id"])
-    times = slots(sources).groupBy("idx", "block").agg(F.count(F.lit(1)).alias("times"))
+    whole = F.col("words") == BLOCK
+    times = slots(sources).groupBy("idx", "block").agg(F.count_if(whole).alias("times"), F.max(F.when(~whole, F.col("words"))).alias("some"))
+    some = F.when(F.col("some").isNull(), 0).otherwise(F.greatest(F.lit(0), F.least(F.col("n"), F.col("some") - F.col("inside"))))
     # a document is known by its source and the place of its first word
     taken = (pieces(placed).join(times, ["idx", "block"])
-             .groupBy("idx", "at").agg(F.sum(F.col("n") * F.col("times")).alias("taken")))
+             .groupBy("idx", "at").agg(F.sum(F.col("n") * F.col("times") + some).alias("taken")))
     words = placed.withColumn("_key", F.when(F.col("size") > 0, F.col("at")))
     out = words.join(taken.withColumnRenamed("at", "_key"), ["idx", "_key"], "left")
     out = join_small(out, sources.select("idx", "source_size", "target"), "idx")
@@ -150,22 +180,22 @@ def op7_block_mix(spark, sf_dir):
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix as documents: for each document and epoch a row with the words that the mix takes of it then.
 
-    The columns of ``docs`` stay; text is the taken words in their order, joined by blanks, or the whole text as it is
-    where all its words are taken; n_chars, if there, is the new length. The texts are shuffled once, to meet the cuts
-    of their rows; equal rows are told apart by a running number.
+    The columns of ``docs`` (text, source and any others) stay; text is the taken words in their order, joined by blanks,
+    or the whole text as it is where all its words are taken; n_chars, if there, is the new length. Null texts and texts
+    without words have nothing to mix and stay once, as they are. Repeated rows are documents of their own. Empty input:
+    empty result. The numbered rows are written once, and their texts shuffled once, to meet their cuts.
     """
     columns = docs.columns
-    placed, sources = streams(docs, [])
-    copy = F.row_number().over(Window.partitionBy("h", "h2").orderBy("idx", "at"))
-    cut = (pieces(placed).join(slots(sources).drop("shard", "slot"), ["idx", "block"])
-           .groupBy("idx", "at", "epoch").agg(F.array_sort(F.collect_list(F.struct("first", "n"))).alias("cuts"), F.sum("n").alias("taken")))
-    cut = (placed.where("size > 0").withColumn("copy", copy).join(cut, ["idx", "at"])
-           .groupBy("h", "h2").agg(F.collect_list(F.struct("copy", "epoch", "cuts", "taken", "size")).alias("all")))
-    rows = docs.select(F.struct("*").alias("doc"), *row_hashes(docs))
-    rows = rows.withColumn("copy", F.row_number().over(Window.partitionBy("h", "h2").orderBy("h"))).join(cut, ["h", "h2"])
-    rows = rows.select("doc", F.explode(F.filter("all", lambda x: x["copy"] == F.col("copy"))).alias("x"))
-    rows = rows.withColumn("words", F.when(F.col("x.taken") < F.col("x.size"), F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))))
-    part = F.array_join(F.flatten(F.transform("x.cuts", lambda c: F.slice("words", (c["first"] + 1).cast("int"), c["n"].cast("int")))), " ")
-    rows = rows.select("doc", F.when(F.col("x.taken") < F.col("x.size"), part).otherwise(F.col("doc.text")).alias("text"))
+    rows = cut_lineage(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias(ROW)))
+    placed, sources = streams(rows.select("doc.*", ROW), [ROW])
+    n = F.least(F.col("n"), F.col("words") - F.col("inside"))
+    cut = (pieces(placed).join(slots(sources).drop("shard", "slot"), ["idx", "block"]).withColumn("n", n).where("n > 0")
+           .groupBy(ROW, "epoch").agg(F.array_sort(F.collect_list(F.struct("first", "n"))).alias("cuts"), F.sum("n").alias("taken"), F.first("size").alias("size")))
+    none = placed.where("size = 0").select(ROW, F.lit(0).cast("long").alias("epoch"), F.lit(None).cast("array<struct<first:bigint,n:bigint>>").alias("cuts"),
+                                           F.lit(0).cast("long").alias("taken"), "size")
+    part_of = F.col("taken") < F.col("size")
+    rows = rows.join(cut.unionByName(none), ROW).withColumn("words", F.when(part_of, F.regexp_extract_all("doc.text", F.lit(WORD), F.lit(0))))
+    part = F.array_join(F.flatten(F.transform("cuts", lambda c: F.slice("words", (c["first"] + 1).cast("int"), c["n"].cast("int")))), " ")
+    rows = rows.select("doc", F.when(part_of, part).otherwise(F.col("doc.text")).alias("text"))
     value = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
     return rows.select(*[value.get(c, F.col(f"doc.`{c}`")).alias(c) for c in columns])
