@@ -2,9 +2,11 @@
 
 Each document becomes a vector of transformed statistics. For each (language, source) a minimum-covariance-determinant
 estimate is fitted over all of its distinct vectors, each counted once however many documents have it, by concentration
-steps, as Spark aggregations: from medians and median deviations, keep the share ``H`` of the rows nearest by
-Mahalanobis distance, take their mean and covariance, repeat; and at last those of all rows within the ``USUAL``
-chi-square quantile, which uses more of the good rows.
+steps, as Spark aggregations: keep the share ``H`` of the rows nearest by Mahalanobis distance, take their mean and
+covariance, repeat. Every group starts from three robust guesses (median deviations alone, and with the correlations of
+squashed rows or of the rows' directions); after ``TRIAL`` steps the guess of the least determinant goes on, until no
+group's determinant falls any more. At last the mean and covariance of all rows within the ``USUAL`` chi-square quantile
+are taken, which uses more of the good rows.
 Documents whose distance to their group's estimate exceeds a chi-square quantile are rejected, as are those that fail
 the plain rules. A step's state is one small row per group; no group's rows meet in one task.
 """
@@ -24,9 +26,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import cut_lineage, in_slices, join_small, read
 
 H = 0.5  # share of a group's distinct vectors that its estimate rests on; it breaks down when more than 1 - H are off
-STEPS = 5
+TRIAL = 2  # steps of every start
+FALL = 1e-3  # a step that lowers no group's log determinant by more is the last
 USUAL = 0.975  # chi-square quantile of the rows of the last step
 MIN_ROWS = 60  # groups of fewer distinct vectors use their language's estimate, or the corpus's
+MANY = 20_000  # rows of estimates that are broadcast
 TAIL = 1e-6  # chi-square tail beyond which a document is an outlier
 #: (statistic, floor of its standard deviation): most documents have none of the last five, so their spread can be 0
 FEATURES = {"f_length": 0.06, "f_symbols": 0.06, "f_upper": 0.06, "f_punct": 0.06, "f_dup": 0.2, "f_repeat": 0.12}
@@ -138,58 +142,116 @@ def distance(mean: Column, inverse: Column) -> Column:
 _PRODUCTS = [(i, j) for i in range(D) for j in range(i, D)]
 
 
-def _moments() -> list[Column]:
+def _moments(of: dict[str, Column] | None = None) -> list[Column]:
     names = list(FEATURES)
-    return [F.count(F.lit(1)).alias("n"), F.array(*[F.sum(n) for n in names]).alias("sums"),
-            F.array(*[F.sum(F.col(names[i]) * F.col(names[j])) for i, j in _PRODUCTS]).alias("products")]
+    x = [(of or {}).get(n, F.col(n)) for n in names]
+    return [F.count(F.lit(1)).alias("n"), F.array(*[F.sum(c) for c in x]).alias("sums"), F.array(*[F.sum(x[i] * x[j]) for i, j in _PRODUCTS]).alias("products")]
+
+
+def _covariance(n: float, sums, products) -> tuple[np.ndarray, np.ndarray]:
+    mean = np.asarray(sums, float) / n
+    cov = np.zeros((D, D))
+    for (i, j), p in zip(_PRODUCTS, products, strict=True):
+        cov[i, j] = cov[j, i] = p / n - mean[i] * mean[j]
+    return mean, cov
+
+
+def _model(pdf: pd.DataFrame, means: list, covariances: list[np.ndarray]) -> pd.DataFrame:
+    """Means, inverses and log determinants; floors keep the covariances regular."""
+    regular = [c + np.diag(np.square(list(FEATURES.values()))) for c in covariances]
+    return pdf.assign(mean=[list(map(float, m)) for m in means], inverse=[np.linalg.inv(c).ravel().tolist() for c in regular],
+                      logdet=[float(np.linalg.slogdet(c)[1]) for c in regular])
 
 
 def _estimate(pdf: pd.DataFrame, factor: float) -> pd.DataFrame:
-    """Mean and inverse covariance (times ``factor``) from count, sums and products; floors keep it regular."""
-    floor = np.diag(np.square(list(FEATURES.values())))
-    means, inverses = [], []
-    for n, sums, products in zip(pdf["n"], pdf["sums"], pdf["products"], strict=True):
-        mean = np.asarray(sums, float) / n
-        cov = np.zeros((D, D))
-        for (i, j), p in zip(_PRODUCTS, products, strict=True):
-            cov[i, j] = cov[j, i] = p / n - mean[i] * mean[j]
-        means.append(mean.tolist())
-        inverses.append(np.linalg.inv(cov * factor + floor).ravel().tolist())
-    return pdf[KEYS].assign(mean=means, inverse=inverses)
+    """Mean and covariance (times ``factor``) from count, sums and products."""
+    found = [_covariance(*x) for x in zip(pdf["n"], pdf["sums"], pdf["products"], strict=True)]
+    return _model(pdf[[*KEYS, "start", "before"]], [m for m, _ in found], [c * factor for _, c in found])
+
+
+def _guesses(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A row for each start of a group, from the moments of its squashed rows and of its rows' directions."""
+    means, covariances = [], []
+    for mid, spread, tanh, sign in zip(pdf["mid"], pdf["spread"], pdf["tanh"], pdf["sign"], strict=True):
+        scale = np.outer(spread, spread)
+        parts = [np.eye(D), _covariance(*(tanh[k] for k in ("n", "sums", "products")))[1], D * _covariance(*(sign[k] for k in ("n", "sums", "products")))[1]]
+        means += [mid] * len(parts)
+        covariances += [scale * c for c in parts]
+    keys = pdf[KEYS].loc[pdf.index.repeat(3)].reset_index(drop=True)
+    return _model(keys.assign(start=[0, 1, 2] * len(pdf), before=float("inf")), means, covariances)
 
 
 KEYS = ["level", "lang", "source"]
-_SCHEMA = "level int, lang string, source string, mean array<double>, inverse array<double>"
+_SCHEMA = "level int, lang string, source string, start int, before double, mean array<double>, inverse array<double>, logdet double"
 
 
-def _of_group(rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
-    """``rows`` joined with one row per group; nulls are equal."""
-    other = groups.select(*[F.col(k).alias(f"_{k}") for k in KEYS], *[c for c in groups.columns if c not in KEYS])
-    joined = join_small(rows, other, [rows[k].eqNullSafe(other[f"_{k}"]) for k in KEYS], how)
-    return joined if how == "left_semi" else joined.drop(*[f"_{k}" for k in KEYS])
+def _of_group(rows: DataFrame, groups: DataFrame, how: str = "inner", keys: list[str] | None = None) -> DataFrame:
+    """``rows`` joined with the few rows of each group; nulls are equal. Where the groups are too many to broadcast, the
+    corpus's own, which all rows share, still are."""
+    keys = keys or KEYS
+    other = groups.select(*[F.col(k).alias(f"_{k}") for k in keys], *[c for c in groups.columns if c not in keys])
+    on = lambda a, b: [a[k].eqNullSafe(b[f"_{k}"]) for k in keys]
+    if other.limit(MANY + 1).count() <= MANY:
+        joined = rows.join(F.broadcast(other), on(rows, other), how)
+    else:
+        below, corpus = rows.where("level < 2"), rows.where("level = 2")
+        few = other.where("_level = 2")
+        joined = below.join(other, on(below, other), how).unionByName(corpus.join(F.broadcast(few), on(corpus, few), how))
+    return joined if how == "left_semi" else joined.drop(*[f"_{k}" for k in keys])
 
 
-def _fit(stats: DataFrame) -> DataFrame:
-    """One estimate per group of ``stats``, by concentration steps over all rows and a last, wider step."""
+def _starts(stats: DataFrame) -> DataFrame:
     names = list(FEATURES)
     medians = F.array(*[F.percentile_approx(n, 0.5, 1000) for n in names])
     middle = cut_lineage(stats.groupBy(*KEYS).agg(medians.alias("mid")))
-    off = _of_group(stats, middle).select(*KEYS, "mid", *[F.abs(F.col(n) - F.col("mid")[i]).alias(n) for i, n in enumerate(names)])
-    scale = off.groupBy(*KEYS).agg(F.first("mid").alias("mean"), medians.alias("mad"))
-    inverse = [1 / (F.pow(F.col("mad")[i] * 1.4826, 2) + FEATURES[names[i]] ** 2) if i == j else F.lit(0.0) for i in range(D) for j in range(D)]
-    model = cut_lineage(scale.select(*KEYS, "mean", F.array(*inverse).alias("inverse")))
-    usual = chi2_quantile(USUAL, D)
-    for share in [*[H] * STEPS, USUAL]:
-        far = _of_group(stats, model).select(*KEYS, *names, distance(F.col("mean"), F.col("inverse")).alias("far"))
-        if share == H:
-            near = cut_lineage(far.groupBy(*KEYS).agg(F.percentile_approx("far", H, 1000).alias("most")))
-            central = _of_group(far, near).where(F.col("far") <= F.col("most"))
-        else:
-            central = far.where(F.col("far") <= usual)
-        moments = central.groupBy(*KEYS).agg(*_moments())
-        factor = consistency(share)
-        model = cut_lineage(moments.mapInPandas(lambda it, factor=factor: (_estimate(x, factor) for x in it), _SCHEMA))
-    return model
+    off = _of_group(stats, middle).select(*KEYS, *[F.abs(F.col(n) - F.col("mid")[i]).alias(n) for i, n in enumerate(names)])
+    deviations = _of_group(off.groupBy(*KEYS).agg(medians.alias("mad")), middle)
+    spread = F.array(*[F.sqrt(F.pow(F.col("mad")[i] * 1.4826, 2) + FEATURES[n] ** 2) for i, n in enumerate(names)])
+    scale = cut_lineage(deviations.select(*KEYS, "mid", spread.alias("spread")))
+    rows = _of_group(stats, scale).select(*KEYS, *[((F.col(n) - F.col("mid")[i]) / F.col("spread")[i]).alias(n) for i, n in enumerate(names)])
+    rows = rows.withColumn("_length", F.sqrt(sum((F.col(n) * F.col(n) for n in names), F.lit(1e-12))))
+    tanh, sign = {n: F.tanh(n) for n in names}, {n: F.col(n) / F.col("_length") for n in names}
+    both = rows.groupBy(*KEYS).agg(F.struct(*_moments(tanh)).alias("tanh"), F.struct(*_moments(sign)).alias("sign"))
+    return cut_lineage(_of_group(both, scale).mapInPandas(lambda it: map(_guesses, it), _SCHEMA))
+
+
+def _concentrated(stats: DataFrame, model: DataFrame, share: float = H) -> DataFrame:
+    """The estimates of the rows that are nearest by ``model``, a row for each of its rows."""
+    keys = [*KEYS, "start"]
+    far = _of_group(stats, model.drop("before")).select(*keys, *FEATURES, "logdet", distance(F.col("mean"), F.col("inverse")).alias("far"))
+    if share == H:
+        near = cut_lineage(far.groupBy(*keys).agg(F.percentile_approx("far", H, 1000).alias("most")))
+        central = _of_group(far, near, keys=keys).where(F.col("far") <= F.col("most"))
+    else:
+        central = far.where(F.col("far") <= chi2_quantile(share, D))
+    moments = central.groupBy(*keys).agg(*_moments(), F.max("logdet").alias("before"))
+    factor = consistency(share)
+    return cut_lineage(moments.mapInPandas(lambda it: (_estimate(x, factor) for x in it), _SCHEMA))
+
+
+def least_determinants(stats: DataFrame) -> DataFrame:
+    """The raw estimate of each group of ``stats``: the start of the least determinant, concentrated until no
+    determinant falls."""
+    model = _starts(stats)
+    for _ in range(TRIAL):
+        model = _concentrated(stats, model)
+    best = F.min_by(F.struct(*[c for c in model.columns if c not in KEYS]), F.struct("logdet", "start"))
+    model = cut_lineage(model.groupBy(*KEYS).agg(best.alias("x")).select(*KEYS, "x.*"))
+    least = None
+    while True:
+        after = _concentrated(stats, model)
+        # groups whose determinant fell take the step and go on; the others are done with what they had
+        fell = F.col("before") - F.col("logdet") > FALL
+        done = cut_lineage(_of_group(model, cut_lineage(after.where(~fell).select(*KEYS)), "left_semi"))
+        least = done if least is None else least.unionByName(done)
+        model = cut_lineage(after.where(fell))
+        if model.isEmpty():
+            return cut_lineage(least)
+
+
+def _fit(stats: DataFrame) -> DataFrame:
+    """One estimate per group of ``stats``, by concentration steps over all rows and a last, wider step."""
+    return _concentrated(stats, least_determinants(stats), USUAL).drop("start", "before", "logdet")
 
 
 def fit_outlier_model(stats: DataFrame) -> DataFrame:

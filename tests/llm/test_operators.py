@@ -581,6 +581,50 @@ def test_covariance_ignores_large_groups_of_outliers(spark, share, copies):
     assert kept[900] == 0 and kept[0] > 0.99
 
 
+def brute_concentration(x: np.ndarray, start: np.ndarray) -> float:
+    """Concentration steps over a matrix from a subset, till the log determinant of a full subset no longer falls."""
+    floor = np.diag(np.square(list(quality_mcd.FEATURES.values())))
+    size, chosen, least = math.ceil(len(x) * quality_mcd.H), start, np.inf
+    while True:
+        cov = np.cov(x[chosen].T, bias=True) * quality_mcd.consistency(quality_mcd.H) + floor
+        now = np.linalg.slogdet(cov)[1]
+        if len(chosen) == size and now > least - 1e-9:
+            return least
+        least = now if len(chosen) == size else np.inf
+        diff = x - x[chosen].mean(0)
+        chosen = np.argsort(np.einsum("ni,ij,nj->n", diff, np.linalg.inv(cov), diff), kind="stable")[:size]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.35])
+def test_determinants_are_as_small_as_those_of_many_random_starts(spark, share):
+    rng = np.random.default_rng(12)
+    mixed = rng.normal(size=(6, 6)) * 0.2
+    x = rng.normal(size=(300, 6)) @ mixed
+    x[: int(300 * share)] = x[: int(300 * share)] * 0.3 + rng.normal(size=6) * 4
+    names = list(quality_mcd.FEATURES)
+    stats = spark.createDataFrame([(0, "en", "a", *map(float, r)) for r in x] + [(0, None, None, *map(float, r)) for r in x[::2]], "level int, lang string, source string, " + ", ".join(f"{n} double" for n in names))
+    got = {r["lang"]: r for r in quality_mcd.least_determinants(stats).collect()}
+    assert set(got) == {"en", None}
+    brute = [brute_concentration(x, rng.choice(300, 12, replace=False)) for _ in range(60)]
+    assert got["en"]["logdet"] <= min(brute) + 0.05
+    # steps from the estimate found take hardly more off its determinant
+    diff = x - np.array(got["en"]["mean"])
+    far = np.einsum("ni,ij,nj->n", diff, np.array(got["en"]["inverse"]).reshape(6, 6), diff)
+    assert brute_concentration(x, np.argsort(far, kind="stable")[:150]) >= got["en"]["logdet"] - 0.05
+
+
+def test_many_groups_take_estimates_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(quality_mcd, "MANY", 2)
+    rng = np.random.default_rng(3)
+    rows = [("en", "abcd"[i % 4], int(n), int(n * 5 + rng.normal(0, 8)), 0, 0, 0, 10, 5, 4) for i, n in enumerate(rng.integers(100, 900, 1200))]
+    rows += [("en", "a", 200, 1000, 900, 0, 0, 10, 900, 4)] * 120
+    stats = spark.createDataFrame(rows, "lang string, source string, " + quality_mcd.BASE)
+    shuffled = quality_mcd.judge(stats, quality_mcd.fit_outlier_model(stats)).select("n_words", "kept", "far").collect()
+    monkeypatch.undo()
+    broadcast = quality_mcd.judge(stats, quality_mcd.fit_outlier_model(stats)).select("n_words", "kept", "far").collect()
+    assert sorted((r[0], r[1], round(r[2], 6)) for r in shuffled) == sorted((r[0], r[1], round(r[2], 6)) for r in broadcast)
+
+
 def test_chi_square():
     assert quality_mcd.chi2_cdf(2.0, 2) == pytest.approx(1 - math.exp(-1))
     assert quality_mcd.chi2_quantile(0.95, 6) == pytest.approx(12.5916, abs=1e-3)
