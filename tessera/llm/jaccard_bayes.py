@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage, in_slices, join_small, read, text_of
+from tessera.llm.common import bound_batches, cut_lineage, in_slices, join_small, read, text_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -304,6 +304,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     of fewer words is one n-gram of all of them; without a word it links with nothing. Nulls are read as empty texts.
     Rows that repeat a document are copies of it. Empty input: empty result.
     """
+    bound_batches(docs.sparkSession)
     steps = least_matches(threshold, TOLERANCE)
     rows = _nodes_of(docs)
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), "h", "h2")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import LOWER, SPACES, UPPER, ascii_lower, in_slices, text_of
+from tessera.llm.common import LOWER, SPACES, UPPER, ascii_lower, bound_batches, in_slices, text_of
 
 _TO_LOWER = str.maketrans(UPPER, LOWER)
 
@@ -61,6 +61,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     repeat a doc_id are one document to the count, and each is reassembled. Empty input: empty result. Further
     columns of any name stay inside ``doc``.
     """
+    bound_batches(docs.sparkSession)
     lines = _exploded(docs, min_chars)
     shared = (lines.groupBy("h").agg(F.countDistinct("id").alias("n"), F.max("id").alias("keeper"))
               .where(F.col("n") >= min_docs).select("h", "keeper"))

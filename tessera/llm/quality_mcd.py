@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut_lineage, in_slices, join_small, read
+from tessera.llm.common import bound_batches, cut_lineage, in_slices, join_small, read
 
 H = 0.5  # share of a group's distinct vectors that its estimate rests on; it breaks down when more than 1 - H are off
 TRIAL = 2  # steps of every start
@@ -290,6 +290,7 @@ def judge(rows: DataFrame, model: DataFrame) -> DataFrame:
 
 def measured(docs: DataFrame) -> DataFrame:
     """``doc`` (the row as a struct), lang, source and the counts of BASE per row of ``docs``."""
+    bound_batches(docs.sparkSession)
     counts = F.arrow_udf(_counts, BASE)
     rows = docs.select(F.struct("*").alias("doc"), counts(F.col("text")).alias("c"))
     return rows.select("doc", F.col("doc.lang").cast("string").alias("lang"), F.col("doc.source").cast("string").alias("source"), "c.*")
