@@ -19,6 +19,8 @@ RANGE_ROWS = 1_000_000  # rows of a range, about
 MAX_RANGES = 20_000
 SAMPLES = 20  # sampled rows for each bound
 CELLS = 1 << 16  # cells of one refinement of a quantile
+HOT_ROWS = 100_000  # rows of a key that are not brought together
+MAX_HOT = 100_000  # such keys
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -35,12 +37,13 @@ def _quoted(text: str | None) -> str:
 
 
 def range_bounds(df: DataFrame, keys: Sequence[str], num_ranges: int | None = None) -> list[tuple]:
-    """Ascending rows of ``keys`` (as strings, NULLs last) that cut ``df`` into ranges of about RANGE_ROWS rows.
+    """Ascending rows of ``keys`` (as strings, NULLs last) that cut ``df`` into ranges of about RANGE_ROWS rows, and
+    into ``num_ranges`` at least.
 
     At most MAX_RANGES * SAMPLES sampled keys come to the driver. The bounds decide only how even the ranges are.
     """
     n = df.count()
-    num_ranges = num_ranges or min(MAX_RANGES, -(-n // RANGE_ROWS))
+    num_ranges = max(num_ranges or 1, min(MAX_RANGES, -(-n // RANGE_ROWS)))
     if num_ranges <= 1 or not n:
         return []
     share = min(1.0, SAMPLES * num_ranges / n)
@@ -51,29 +54,20 @@ def range_bounds(df: DataFrame, keys: Sequence[str], num_ranges: int | None = No
 
 
 def range_of(df: DataFrame, keys: Sequence[str], bounds: list[tuple]) -> Column:
-    """The number of a row's range: how many ``bounds`` its keys reach, by binary search over a literal array."""
+    """The number of a row's range: how many ``bounds`` its keys reach, by binary search over a literal array.
+
+    The array is made of foldable expressions alone, so it is built once and not for each row.
+    """
     if not bounds:
         return F.lit(0)
     kinds = [df.schema[k].dataType.simpleString() for k in keys]
-    arrays, fields = [], []
-    for i, kind in enumerate(kinds):
-        texts = [b[i] for b in bounds]
-        arrays += [f"array({', '.join('true' if t is None else 'false' for t in texts)})", f"CAST(array({', '.join(map(_quoted, texts))}) AS array<{kind}>)"]
-        fields += [f"n{i}:boolean", f"k{i}:{kind}"]
-    literal = F.expr(f"CAST(arrays_zip({', '.join(arrays)}) AS array<struct<{','.join(fields)}>>)")
-    parts = [c for i, k in enumerate(keys) for c in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))]
-    key = F.struct(*parts)
-
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.floor((s["low"] + s["high"]) / 2).cast("int")
-        reached = F.get(literal, middle) <= s["key"]
-        low = F.when((s["low"] < s["high"]) & reached, middle + 1).otherwise(s["low"])
-        high = F.when((s["low"] < s["high"]) & ~reached, middle).otherwise(s["high"])
-        return F.struct(low.alias("low"), high.alias("high"), s["key"].alias("key"))
-
-    start = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"), key.alias("key"))
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    return F.aggregate(steps, start, halve, lambda s: s["low"])
+    row = lambda b: "named_struct(" + ", ".join(
+        f"'n{i}', {'true' if t is None else 'false'}, 'k{i}', CAST({_quoted(t)} AS {kind})" for i, (t, kind) in enumerate(zip(b, kinds, strict=True))) + ")"
+    literal = F.expr(f"array({', '.join(map(row, bounds))})")
+    key = F.struct(*[c for i, k in enumerate(keys) for c in (F.col(k).isNull().alias(f"n{i}"), F.col(k).alias(f"k{i}"))])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    # a step is taken where the bound at its end is reached; behind the last bound there is NULL
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(literal, at + step - 1) <= key, step).otherwise(0))
 
 
 def _nulls_last(keys: Sequence[str]) -> list[Column]:
@@ -96,23 +90,46 @@ def previous_in_order(
     rows are sorted by range, and the first row of a range takes the last row of its group in an earlier range. Rows
     that tie in ``order_cols`` come in the order of their other columns; NULLs sort last, and rows with a NULL group
     column form a group. Equal rows are one counted row until the end. Columns must be groupable.
+
+    Only the group of a bound can have rows on both its sides. Where each bound has a group of its own, the groups are
+    small, and the last rows are taken of the bounds' groups alone.
     """
     g = list(group_cols or [])
     keys = list(dict.fromkeys([*g, *order_cols, value_col, *df.columns]))
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranged = counted.withColumn("_rng", range_of(df, keys, range_bounds(df, keys, num_ranges)))
+    bounds = range_bounds(df, keys, num_ranges)
     inside = W.partitionBy("_rng", *g).orderBy(*_nulls_last([k for k in keys if k not in g]))
-    rows = ranged.select("*", F.lag(value_col).over(inside).alias("_before"), F.row_number().over(inside).alias("_pos"),
-                         F.lead(F.lit(True)).over(inside).alias("_more"))
-    last = rows.where(F.col("_more").isNull()).select("_rng", *g, F.col(value_col).alias("_last"))
+
+    def placed(part: DataFrame) -> DataFrame:
+        counted = part.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        ranged = counted.withColumn("_rng", range_of(df, keys, bounds))
+        # the next row's count, and not a constant: so all who read the rows need the same columns of one exchange
+        return ranged.select("*", F.lag(value_col).over(inside).alias("_before"), F.row_number().over(inside).alias("_pos"),
+                             F.lead("_n").over(inside).alias("_more"))
+
+    rows = placed(df)
+    if not bounds:
+        return _copies(rows, df.columns, value_col, F.col("_before"), out_col)
+    groups = sorted({b[: len(g)] for b in bounds}, key=str)
+    ends = rows
+    if g and len(groups) == len(bounds):
+        names = [f"g{i}" for i in range(len(g))]
+        of_bounds = df.sparkSession.createDataFrame(groups, ", ".join(f"{c} string" for c in names))
+        of_bounds = of_bounds.select(*[F.col(c).cast(df.schema[k].dataType).alias(k) for c, k in zip(names, g, strict=True)])
+        ends = placed(_null_safe_join(df, F.broadcast(of_bounds), g, "left_semi"))
+    last = ends.where(F.col("_more").isNull()).select("_rng", *g, F.col(value_col).alias("_last"))
     ahead = W.partitionBy(*g).orderBy("_rng")
     # groups lie side by side in the ranges, so at most one goes on from a range into the next: a row for each bound
     carry = last.select("_rng", *g, F.lag("_last").over(ahead).alias("_carry"), F.lag("_rng").over(ahead).alias("_from"))
     carry = F.broadcast(carry.where(F.col("_from").isNotNull()).drop("_from"))
     joined = _null_safe_join(rows, carry, ["_rng", *g], "left")
     before = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_before"))
-    copies = joined.select("*", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
-    return copies.select(*df.columns, F.when(F.col("_copy") > 1, F.col(value_col)).otherwise(before).alias(out_col))
+    return _copies(joined, df.columns, value_col, before, out_col)
+
+
+def _copies(rows: DataFrame, columns: list[str], value_col: str, before: Column, out_col: str) -> DataFrame:
+    """The counted rows as often as they are; behind its first copy a row follows itself."""
+    copies = rows.select(*columns, before.alias("_first"), F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    return copies.select(*columns, F.when(F.col("_copy") > 1, F.col(value_col)).otherwise(F.col("_first")).alias(out_col))
 
 
 # --- exact quantile --------------------------------------------------------
@@ -185,11 +202,12 @@ def running_total(df: DataFrame, value_col: str, partition_cols: Sequence[str],
 
     Two levels of prefix sums: rows that tie become one row with their sum, sums per range of the order are added up
     (one row for each range and partition), and inside a range a window adds the rest. NULL order keys come last
-    (first, if descending), NULL values add nothing, and a total over NULLs only is NULL.
+    (first, if descending), NULL values add nothing, and a total over NULLs only is NULL. The totals of keys with more
+    than HOT_ROWS rows (and of MAX_HOT keys at most) are broadcast, so no task holds the rows of such a key.
     """
     p = list(partition_cols)
     keys = [*p, order_col]
-    ties = df.groupBy(*keys).agg(F.sum(value_col).alias("_sum"))
+    ties = df.groupBy(*keys).agg(F.sum(value_col).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
     ranged = ties.withColumn("_rng", range_of(df, keys, range_bounds(df, keys, num_ranges)))
     turn = (lambda c: F.col(c).desc_nulls_first()) if descending else (lambda c: F.col(c).asc_nulls_last())
     sums = ranged.groupBy(*p, "_rng").agg(F.sum("_sum").alias("_all"))
@@ -198,4 +216,9 @@ def running_total(df: DataFrame, value_col: str, partition_cols: Sequence[str],
     inside = F.sum("_sum").over(W.partitionBy(*p, "_rng").orderBy(turn(order_col)).rowsBetween(W.unboundedPreceding, W.currentRow))
     totals = _null_safe_join(ranged.withColumn("_inside", inside), base, [*p, "_rng"], "left")
     total = F.when(F.col("_base").isNull(), F.col("_inside")).otherwise(F.col("_base") + F.coalesce("_inside", F.lit(0)))
-    return _null_safe_join(df, totals.select(*keys, total.alias(out_col)), keys, "left")
+    found = totals.select(*keys, "_rows", total.alias(out_col))
+    is_hot = F.col("_rows") > max(HOT_ROWS, df.count() // MAX_HOT)
+    hot, cold = found.where(is_hot).drop("_rows"), found.where(~is_hot).drop("_rows")
+    of_hot = _null_safe_join(df, F.broadcast(hot), keys, "inner")
+    others = _null_safe_join(df, F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return of_hot.unionByName(_null_safe_join(others, cold, keys, "left"))
