@@ -2,10 +2,10 @@
 
 Two sets of generators run over each whole text: the strict patterns of each kind, whose valid matches are always
 reported, and wide ones that propose any stretch of a number run that starts and ends with groups of digits (as a card,
-a phone or an address, overlapping) or a spelled-out mail address. Boosted trees, trained on a bounded sample in which valid strict matches are the positive (mail also
+a phone or an address, overlapping) or a spelled-out mail address. Boosted trees, trained on the whole corpus, where valid strict matches are the positive (mail also
 spelled out) and broken ones the negative rows, score the proposals from their format and their context; a threshold per kind, calibrated on
 held-out rows to a wanted precision, selects those that are reported too. The trees become one SQL expression, so
-selection is a function of the row: nothing is shuffled but the sample.
+selection is a function of the row: nothing is shuffled but the counts of spans with equal features.
 """
 
 from __future__ import annotations
@@ -256,10 +256,12 @@ def _tree(node, value) -> Column:
     return F.when(value(FEATURES[split.featureIndex()]) <= F.lit(float(split.threshold())), _tree(node.leftChild(), value)).otherwise(_tree(node.rightChild(), value))
 
 
-def fit(spans: DataFrame, sample: int = 12_000, rounds: int = 10, depth: int = 3, precision: float = 0.995) -> tuple[list, dict[int, float]]:
+def fit(spans: DataFrame, rounds: int = 10, depth: int = 3, precision: float = 0.995) -> tuple[list, dict[int, float]]:
     """Boosted trees and a threshold per kind from the output of ``generate`` (a written table).
 
-    About ``sample`` labelled spans of each label are taken, by a hash of their place. A third of them is held out;
+    Every labelled span counts. Spans of one label with equal features become one row that weighs as many as they are,
+    so the trees are grown on a few rows whatever the input; each label weighs the same in all. By a hash of their place
+    a third of the spans is held out;
     a kind's threshold lies halfway between the lowest score from which on at least ``precision`` of its held-out spans
     are positive and the next score below.
     Kinds without held-out rows of both labels get none, and report their strict spans alone: those that have hardly
@@ -268,19 +270,17 @@ def fit(spans: DataFrame, sample: int = 12_000, rounds: int = 10, depth: int = 3
     labelled = spans.select("doc", F.explode(F.concat(
         F.transform(F.concat("base", "spelled"), lambda x: F.struct(F.lit(1.0).alias("label"), x.alias("x"))),
         F.transform("broken", lambda x: F.struct(F.lit(0.0).alias("label"), x.alias("x"))))).alias("y")).select(
-        "y.label", "y.x", F.pmod(F.xxhash64("doc", "y.x.k", "y.x.start"), F.lit(1_000_000)).alias("h"))
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+        "y.label", "y.x.k", *[f"y.x.{f}" for f in FEATURES], (F.pmod(F.xxhash64("doc", "y.x.k", "y.x.start"), F.lit(3)) == 0).alias("held"))
+    rows = cut_lineage(labelled.groupBy("label", "held", "k", *FEATURES).agg(F.count(F.lit(1)).alias("n")))
+    sizes = {r["label"]: r["n"] for r in rows.where("not held").groupBy("label").agg(F.sum("n").alias("n")).collect()}
     if set(sizes) != {0.0, 1.0}:
         return [], {}
-    share = F.when(F.col("label") == 1, min(1.0, sample / sizes[1.0])).otherwise(min(1.0, sample / sizes[0.0]))
-    rows = cut_lineage(labelled.where(F.col("h") < share * 1_000_000).select("label", (F.pmod("h", F.lit(3)) == 0).alias("held"), "x.*"))
-    train = rows.where("not held")
-    if train.select("label").distinct().count() < 2:
-        return [], {}
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(train)
-    model = GBTClassifier(featuresCol="v", labelCol="label", maxIter=rounds, maxDepth=depth, seed=7, subsamplingRate=1.0, stepSize=0.3).fit(vectors.select("v", "label"))
+    weight = F.when(F.col("label") == 1, F.col("n") / sizes[1.0]).otherwise(F.col("n") / sizes[0.0]) * min(sizes.values())
+    vectors = VectorAssembler(inputCols=FEATURES, outputCol="v").transform(rows.where("not held").withColumn("weight", weight))
+    model = GBTClassifier(featuresCol="v", labelCol="label", weightCol="weight", maxIter=rounds, maxDepth=depth, seed=7, subsamplingRate=1.0, stepSize=0.3).fit(
+        vectors.select("v", "label", "weight"))
     trees = [(t._call_java("rootNode"), float(w)) for t, w in zip(model.trees, model.treeWeights, strict=True)]
-    bins = rows.where("held").groupBy("k", "label", F.round(score(trees, F.col), 2).alias("score")).count().collect()
+    bins = rows.where("held").groupBy("k", "label", F.round(score(trees, F.col), 2).alias("score")).agg(F.sum("n").alias("count")).collect()
     cuts = {}
     for kind in range(len(KINDS)):
         own = sorted(((r["score"], r["label"], r["count"]) for r in bins if r["k"] == kind), reverse=True)
